@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("analytics_checks",)
+MODULES = ("analytics_checks", "quality_checks", "clean_checks")
 
 
 def load_all() -> None:
