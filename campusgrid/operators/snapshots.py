@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campusgrid.schema import CATALOGUE
-from campusgrid.sources.sinks import stamp
+from campusgrid.sources.sinks import CSV_OPTIONS, stamp
 
 DATASET = ("source", "dataset")
 KEEP_VERSIONS = 10
@@ -190,8 +190,8 @@ class SnapshotStore:
             raise ValueError(f"unsupported format: {file_format}")
         version = version or stamp(STAMP)
         path = self.path(source, dataset, version)
-        writer = df.write.mode("errorifexists").format(file_format)
-        (writer.option("header", True).option("escape", '"') if file_format == "csv" else writer).save(path)
+        options = CSV_OPTIONS if file_format == "csv" else {}
+        df.write.mode("errorifexists").format(file_format).options(**options).save(path)
         row = (
             source,
             dataset,
@@ -212,8 +212,7 @@ class SnapshotStore:
         """One version's files; CSV gets its types from the catalogue."""
         if file_format == "parquet":
             return self.spark.read.parquet(path)
-        reader = self.spark.read.option("header", True).option("escape", '"')
-        return reader.option("multiLine", True).schema(columns).csv(path)
+        return self.spark.read.options(**CSV_OPTIONS, multiLine=True).schema(columns).csv(path)
 
     def _load(self, found: DataFrame) -> DataFrame | None:
         """The data of the single catalogue row; the driver fetches that one row only."""

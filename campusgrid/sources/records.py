@@ -31,6 +31,7 @@ from campusgrid.schema import (
     REGION_LABELS,
     STRING_COLUMNS,
 )
+from campusgrid.sources.sinks import CSV_OPTIONS
 
 # --- reading ---------------------------------------------------------------
 
@@ -85,8 +86,7 @@ def read_table(
     if bare.endswith(".parquet"):
         return spark.read.parquet(path)
     if bare.endswith(".csv"):
-        reader = spark.read.option("header", True).option("escape", '"')
-        reader = reader.option("multiLine", multi_line)
+        reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
         return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     raise ValueError(f"neither .parquet nor .csv: {path}")
 

@@ -14,6 +14,15 @@ from campusgrid.functions.text import quoted
 TABLE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 BATCH_ROWS = 500
 
+# Values come back as they were: quotes doubled, outer blanks kept (Spark's CSV
+# writer drops them unless told not to).
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 class LoadError(Exception):
     """The target cannot take the rows."""
@@ -31,7 +40,7 @@ def write_raw_json(records: DataFrame, root: str, name: str, at: str | None = No
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
     return path
 
 

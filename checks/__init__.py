@@ -2,7 +2,15 @@
 
 from importlib import import_module
 
-MODULES = ("analytics_checks", "quality_checks", "clean_checks")
+MODULES = (
+    "analytics_checks",
+    "quality_checks",
+    "clean_checks",
+    "workbook_checks",
+    "join_checks",
+    "store_checks",
+    "ingest_checks",
+)
 
 
 def load_all() -> None:

@@ -221,8 +221,14 @@ def _(spark, sf_dir):
     return C.drop_negatives(table(spark, sf_dir, "customer"), ("c_acctbal", "c_custkey"))
 
 
-@check("v9_report_summary", "SELECT 0::BIGINT AS errors, 4::BIGINT AS warnings, "
-       "3::BIGINT AS corrections, TRUE AS is_valid")
+@check(
+    "v9_report_summary",
+    raw(f"""SELECT count(CASE WHEN severity = 'ERROR' THEN 1 END) AS errors,
+      count(CASE WHEN severity = 'WARNING' THEN 1 END) AS warnings,
+      count(CASE WHEN severity = 'CORRECTION' THEN 1 END) AS corrections,
+      count(CASE WHEN severity = 'ERROR' THEN 1 END) = 0 AS is_valid
+      FROM ({REPORT}) WHERE severity = 'INFO' OR affected_rows > 0"""),
+)
 def _(spark, sf_dir):
     return Q.report_summary(Q.validation_report(raw_records(spark, sf_dir)))
 

@@ -311,7 +311,7 @@ def instructions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "Revenue": F.col("l_extendedprice"),
         "Qty": F.col("l_quantity").cast("int"),
         "Reduction": F.col("l_discount"),
-        "Turnover": F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 2),
+        "Turnover": F.col("l_extendedprice") * (1 - F.col("l_discount")),
     }
     return df.select(*[expressions[c].alias(c) for c in (columns or expressions)])
 
@@ -341,7 +341,7 @@ instructions AS (
       WHEN p_type IN ('MEDIUM', 'SMALL') THEN 'Office Supplies' ELSE 'Technology' END AS "Group",
     p_brand AS "Sub-Group", p_name AS "Product Name", l_extendedprice AS "Revenue",
     CAST(l_quantity AS INTEGER) AS "Qty", l_discount AS "Reduction",
-    round(l_extendedprice * (1 - l_discount), 2) AS "Turnover"
+    l_extendedprice * (1 - l_discount) AS "Turnover"
   FROM lineitem
   LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN orders ON l_orderkey = o_orderkey
