@@ -248,14 +248,17 @@ def range_report(df: DataFrame, ranges: Ranges = RANGES) -> DataFrame:
 # --- duplicates ------------------------------------------------------------
 
 
-def _order(df: DataFrame, order_by: Sequence[str], last: bool) -> list[Column]:
+def _order(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], last: bool
+) -> list[Column]:
     """The given order, then every other sortable column, so that ties are equal rows."""
     rest = [
         f.name
         for f in df.schema.fields
-        if f.name not in order_by and not isinstance(f.dataType, (T.MapType, T.VariantType))
+        if f.name not in {*keys, *order_by}
+        and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    cols = [quoted(c) for c in [*order_by, *rest]]
+    cols = [quoted(c) for c in [*order_by, *rest]] or [F.lit(0)]
     return [c.desc_nulls_last() if last else c.asc_nulls_first() for c in cols]
 
 
@@ -274,7 +277,7 @@ def deduplicate(
     """
     if keep in ("first", "last"):
         window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(
-            *_order(df, order_by, keep == "last")
+            *_order(df, keys, order_by, keep == "last")
         )
         return (
             df.withColumn("_position", F.row_number().over(window))
@@ -367,39 +370,38 @@ def validation_report(
     nulls = [c for c in critical if c in df.columns]
     checked = [c for c in ranges if c in df.columns]
 
-    # Flags on the raw row, then the coerced values they are grouped by.
-    raw_flags = [
-        _missing(quoted(c), df.schema[c].dataType).cast("int").alias(f"_null_{i}")
-        for i, c in enumerate(nulls)
-    ] + [
-        _is_lost(f, expected[f.name]).cast("int").alias(f"_lost_{i}")
-        for i, f in enumerate(types.values())
-    ]
-    coerced = [
-        (_coerced(f, expected[f.name]) if f.name in types else quoted(f.name)).alias(f.name)
-        for f in df.schema.fields
-        if f.name in {*keys, *checked}
-    ]
-    rows = df.select(*coerced, *raw_flags)
+    # Each value is coerced once; beside it stands whether the raw one was missing.
+    rows = df.select(
+        *[
+            (_coerced(f, expected[f.name]) if f.name in types else quoted(f.name)).alias(f.name)
+            for f in df.schema.fields
+            if f.name in {*keys, *checked, *types}
+        ],
+        *[
+            _missing(quoted(c), df.schema[c].dataType).alias(f"_absent_{c}")
+            for c in {*types, *nulls}
+        ],
+    )
     bad = out_of_range(rows, ranges)
-    low_high = [_outside(rows, c, ranges[c]) for c in checked]
     kept = ~bad if remove_out_of_range else F.lit(True)
-
-    flags = [f"_null_{i}" for i in range(len(nulls))] + [f"_lost_{i}" for i in range(len(types))]
+    counters = {
+        "_rows": F.count(F.lit(1)),
+        "_bad": F.count_if(bad),
+        "_kept": F.count_if(kept),
+    }
+    for i, c in enumerate(nulls):
+        counters[f"_null_{i}"] = F.count_if(F.col(f"_absent_{c}"))
+    for i, c in enumerate(types):
+        counters[f"_lost_{i}"] = F.count_if(~F.col(f"_absent_{c}") & F.col(c).isNull())
+    for i, c in enumerate(checked):
+        below, above = _outside(rows, c, ranges[c])
+        counters[f"_range_{i}"] = F.count_if(below | above)
     per_key = rows.groupBy(*[quoted(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(bad).alias("_bad"),
-        F.count_if(kept).alias("_kept"),
-        *[F.sum(c).alias(c) for c in flags],
-        *[
-            F.count_if(below | above).alias(f"_range_{i}")
-            for i, (below, above) in enumerate(low_high)
-        ],
+        *[counter.alias(name) for name, counter in counters.items()]
     )
     copies = F.when(F.col("_kept") > 1, F.col("_kept"))
     totals = per_key.agg(
-        *[_total(c).alias(c) for c in ["_rows", "_bad", "_kept", *flags]],
-        *[_total(f"_range_{i}").alias(f"_range_{i}") for i in range(len(checked))],
+        *[_total(name).alias(name) for name in counters],
         _total(copies).alias("_involved"),
         _total(copies - 1).alias("_spare"),
     )
@@ -422,7 +424,7 @@ def validation_report(
         percent = F.coalesce(_percent(n, F.col("_rows")), F.lit(0.0))
         text = F.format_string("%.2f%% null", percent)
         lines.append(only_if(percent > threshold, line(WARNING, "nulls", c, n, text)))
-    for i, (c, f) in enumerate(types.items()):
+    for i, c in enumerate(types):
         n = F.col(f"_lost_{i}")
         lines.append(only_if(n > 0, line(CORRECTION, "types", c, n, F.lit("values set to null"))))
     for i, c in enumerate(checked):

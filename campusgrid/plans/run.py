@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campusgrid.operators.clean import transform
-from campusgrid.operators.quality import ERROR, validate, validation_report
-from campusgrid.sources.sinks import LoadError, load_table, stamp
+from campusgrid.operators.quality import require_columns, validate, validation_report
+from campusgrid.sources.sinks import load_table, stamp
 
 LOG = (
     "batch string, stage string, position int, status string, records_in bigint, "
@@ -20,6 +20,9 @@ LOG = (
 )
 
 
+RECORDS_OUT = 5
+
+
 def batch_id() -> str:
     """`YYYYMMDD_HHMMSS_xxxxxx`, the last part random."""
     return f"{stamp()}_{uuid.uuid4().hex[:6]}"
@@ -33,20 +36,33 @@ class StageLog:
     batch: str
     rows: list[tuple]
 
-    def stage(self, name: str, records_in: int, work: Callable[[], int]) -> bool:
-        """Run one stage; an error is logged and ends the run."""
-        started = time.monotonic()
+    def stage(self, name: str, work: Callable[[], int]) -> bool:
+        """Run one stage on what the last one left.
+
+        An error, or no rows to work on, is logged and ends the run.
+        """
+        records_in = self.rows[-1][RECORDS_OUT] if self.rows else 0
+        started, out, error = time.monotonic(), 0, None
         try:
-            out, error = work(), None
+            if self.rows and records_in == 0:
+                raise ValueError(f"no rows to {name}")
+            out = work()
         except Exception as failure:
-            out, error = 0, f"{type(failure).__name__}: {failure}"
+            error = f"{type(failure).__name__}: {failure}"
         removed = 0 if error else max(records_in - out, 0)
-        percent = round(removed * 100.0 / records_in, 6) if records_in else 0.0
-        status = "failed" if error else "success"
-        seconds = time.monotonic() - started
-        position = len(self.rows) + 1
         self.rows.append(
-            (self.batch, name, position, status, records_in, out, removed, percent, seconds, error)
+            (
+                self.batch,
+                name,
+                len(self.rows) + 1,
+                "failed" if error else "success",
+                records_in,
+                out,
+                removed,
+                round(removed * 100.0 / records_in, 6) if records_in else 0.0,
+                time.monotonic() - started,
+                error,
+            )
         )
         return error is None
 
@@ -77,22 +93,11 @@ def run(
 
     def extract() -> int:
         records.write.mode("errorifexists").parquet(staging)
-        rows = spark.read.parquet(staging).count()
-        if rows == 0:
-            raise LoadError("the extract has no rows")
-        return rows
+        return spark.read.parquet(staging).count()
 
     def check() -> int:
-        report = validation_report(spark.read.parquet(staging))
-        found = {
-            (r.severity, r.check): r.affected_rows
-            for r in report.filter(F.col("column").eqNullSafe("") | (F.col("severity") == ERROR))
-            .select("severity", "check", "affected_rows")
-            .collect()
-        }
-        if (ERROR, "schema") in found:
-            raise LoadError("required columns are missing")
-        return found[("INFO", "validated_rows")]
+        report = validation_report(require_columns(spark.read.parquet(staging)))
+        return report.filter(F.col("check") == "validated_rows").first().affected_rows
 
     def change() -> int:
         rows = validate(spark.read.parquet(staging), order_by)
@@ -103,14 +108,26 @@ def run(
         rows = spark.read.parquet(processed)
         return int(load_table(rows, table, if_exists, table_path)["rows_inserted"])
 
-    incoming = 0
     for name, work in (
         ("extract", extract),
         ("validate", check),
         ("transform", change),
         ("load", load),
     ):
-        if not log.stage(name, incoming, work):
+        if not log.stage(name, work):
             break
-        incoming = log.rows[-1][5]
     return log.table()
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """One row per run: status, records extracted and loaded, seconds, the failed stage."""
+    failed = F.col("status") == "failed"
+    out_of = {s: F.when(F.col("stage") == s, F.col("records_out")) for s in ("extract", "load")}
+    return log.groupBy("batch").agg(
+        F.when(F.bool_or(failed), "failed").otherwise("success").alias("status"),
+        F.coalesce(F.max(out_of["extract"]), F.lit(0)).alias("extracted"),
+        F.coalesce(F.max(out_of["load"]), F.lit(0)).alias("loaded"),
+        F.sum("seconds").alias("seconds"),
+        F.max(F.when(failed, F.col("stage"))).alias("failed_stage"),
+        F.max("error").alias("error"),
+    )

@@ -32,7 +32,9 @@ def _orders(spark, sf_dir, df: DataFrame) -> DataFrame:
 
 
 def _supplier(spark, sf_dir, df: DataFrame) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
+    """Suppliers with their nation: joined to each other first, so that the large
+    side moves once."""
+    supplier = _nation(spark, sf_dir, table(spark, sf_dir, "supplier"), "s_nationkey")
     return df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
 
 
@@ -41,6 +43,17 @@ def _nation(spark, sf_dir, df: DataFrame, key: str) -> DataFrame:
     return df.join(nation, df[key] == nation["n_nationkey"], "left")
 
 
+def _clients(spark, sf_dir, df: DataFrame, region: bool) -> DataFrame:
+    """Orders with their customer, its nation and region, joined small to large."""
+    customer = _nation(spark, sf_dir, table(spark, sf_dir, "customer"), "c_nationkey")
+    if region:
+        regions = table(spark, sf_dir, "region")
+        customer = customer.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+    return df.join(orders, df["l_orderkey"] == orders["o_orderkey"], "left")
+
+
 # --- institutions: one row per lineitem ------------------------------------
 
 
@@ -52,7 +65,7 @@ def institutions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if "school_city" in columns:
         df = _orders(spark, sf_dir, df)
     if "school_state" in columns:
-        df = _nation(spark, sf_dir, _supplier(spark, sf_dir, df), "s_nationkey")
+        df = _supplier(spark, sf_dir, df)
     line, flag, status = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     size = F.when(
         ~((flag == "R") & (line == 1)), F.floor(F.col("l_extendedprice") / 4).cast("double")
@@ -268,15 +281,10 @@ def instructions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if everything or wanted & {"Group", "Sub-Group", "Product Name"}:
         df = _part(spark, sf_dir, df)
     client = {"State or Province", "Postal Code", "Region", "Client Name", "Section", "Client ID"}
-    if everything or wanted & (client | {"Instruction Date"}):
-        df = _orders(spark, sf_dir, df)
     if everything or wanted & client:
-        customer = table(spark, sf_dir, "customer")
-        df = df.join(customer, df["o_custkey"] == customer["c_custkey"], "left")
-        df = _nation(spark, sf_dir, df, "c_nationkey")
-    if everything or "Region" in wanted:
-        region = table(spark, sf_dir, "region")
-        df = df.join(region, df["n_regionkey"] == region["r_regionkey"], "left")
+        df = _clients(spark, sf_dir, df, everything or "Region" in wanted)
+    elif "Instruction Date" in wanted:
+        df = _orders(spark, sf_dir, df)
 
     def has(name: str, make):
         return make() if name in df.columns else None
