@@ -85,11 +85,17 @@ def attribute(col: Column) -> Column:
 
 
 def linear_fit(y: Column, x: Column) -> list[Column]:
-    """Least-squares line of y on x as aggregate columns."""
+    """Least-squares line of y on x as aggregate columns, over rows that have both.
+
+    The correlation is spelled out: `corr` raises where x or y never varies,
+    this gives null.
+    """
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
     return [
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
         F.regr_r2(y, x).alias("r2"),
-        F.corr(y, x).alias("correlation"),
+        F.try_divide(F.covar_pop(y, x), spread).alias("correlation"),
         F.regr_count(y, x).alias("points"),
     ]

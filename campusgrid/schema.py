@@ -65,9 +65,9 @@ STRING_COLUMNS = (
     "school_url",
 )
 
-# The wider record: the 21 fields above plus these ten.
+# The wider record: the fields above without the operating flag, plus these eleven.
 EXTENDED_FIELD_TO_COLUMN = {
-    **FIELD_TO_COLUMN,
+    **{f: c for f, c in FIELD_TO_COLUMN.items() if c != "operating"},
     "school.carnegie_basic": "carnegie_basic",
     "school.degrees_awarded.predominant": "predominant_degree",
     "school.degrees_awarded.highest": "highest_degree",
