@@ -6,23 +6,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from campusgrid.functions.text import strip
+# A character no plain number has: any letter but the exponent's, and control
+# characters that are no blanks. The cast alone would take `1d`, `0x1p3`, `NaN`.
+_NOT_PLAIN = r"[A-DF-Za-df-z\x00-\x08\x0e-\x1b]"
 
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_WHOLE = r"^[+-]?[0-9]+$"
+# The expressions below name their input as few times as they can: a filter on a
+# derived column is pushed towards the scan with the whole expression, so every
+# further mention is computed again there.
+
+
+def nan_to_null(col: Column, dtype: T.DataType) -> Column:
+    """Spark sorts NaN above every number; as null it is missing, as it should be."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.nanvl(col, F.lit(None).cast(dtype))
+    return col
 
 
 def to_double(col: Column, dtype: T.DataType) -> Column:
     """A double, or null where the value is not a plain number. NaN counts as missing.
 
-    Text is matched first: `try_cast` alone would read `1d` as a number.
+    Text may have blanks around the number (of the ASCII kind; `strip` removes others).
     """
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col.cast("double"))
     if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return col.cast("double")
-    text = strip(col.cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+        return nan_to_null(col, dtype).cast("double")
+    text = col.cast("string")
+    return F.when(~text.rlike(_NOT_PLAIN), text.try_cast("double"))
 
 
 def to_long(col: Column, dtype: T.DataType) -> Column:
@@ -32,18 +40,10 @@ def to_long(col: Column, dtype: T.DataType) -> Column:
     number = to_double(col, dtype)
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     if isinstance(dtype, T.StringType):
-        text = strip(col)
-        return F.when(text.rlike(_WHOLE), text.try_cast("bigint")).otherwise(whole)
+        return F.coalesce(col.try_cast("bigint"), whole)
     return whole
 
 
-def nan_to_null(col: Column, dtype: T.DataType) -> Column:
-    """Spark sorts NaN above every number; as null it is missing, as it should be."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col)
-    return col
-
-
 def steady_avg(col: Column, places: int = 10) -> Column:
     """Average, rounded far below the shown digits.
 

@@ -12,14 +12,21 @@ from pyspark.sql import types as T
 from campusgrid.functions.classes import size_category
 from campusgrid.functions.numbers import nan_to_null, to_double
 from campusgrid.functions.text import (
+    BLANKS,
     clean_text,
+    null_tokens,
     quoted,
     repeated,
     snake_case,
     state_code,
     strip,
 )
-from campusgrid.schema import NON_NEGATIVE_COLUMNS, NUMERIC_EXPECTED, RATE_RENAMES
+from campusgrid.schema import (
+    NON_NEGATIVE_COLUMNS,
+    NUMERIC_EXPECTED,
+    RATE_RENAMES,
+    STATE_NULL_TOKENS,
+)
 
 STATE = "school_state"
 
@@ -52,13 +59,22 @@ def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str]) -> DataFrame
 # --- values ----------------------------------------------------------------
 
 
-def clean_strings(df: DataFrame) -> DataFrame:
-    """Trim every text column and turn spelled-out nulls into null."""
-    return df.withColumns({c: clean_text(quoted(c)) for c in text_columns(df)})
+def clean_strings(df: DataFrame, without: Sequence[str] = ()) -> DataFrame:
+    """Trim every text column and turn spelled-out nulls into null.
+
+    Two steps, so that the trimmed text is made once and then compared.
+    """
+    names = [c for c in text_columns(df) if c not in without]
+    trimmed = df.withColumns({c: strip(quoted(c)) for c in names})
+    return trimmed.withColumns({c: null_tokens(quoted(c)) for c in names})
 
 
 def clean_states(df: DataFrame, column: str = STATE) -> DataFrame:
-    return df.withColumn(column, state_code(F.col(column))) if column in df.columns else df
+    """Upper-case state codes without blanks; spelled-out nulls become null."""
+    if column not in df.columns:
+        return df
+    upper = df.withColumn(column, F.upper(strip(F.col(column))))
+    return upper.withColumn(column, null_tokens(F.col(column), STATE_NULL_TOKENS))
 
 
 def clean_numbers(df: DataFrame, columns: Sequence[str] = NUMERIC_EXPECTED) -> DataFrame:
@@ -67,15 +83,16 @@ def clean_numbers(df: DataFrame, columns: Sequence[str] = NUMERIC_EXPECTED) -> D
     for field in df.schema.fields:
         col = quoted(field.name)
         if field.name in columns and isinstance(field.dataType, T.StringType):
-            col = to_double(col, field.dataType)
+            col = to_double(F.btrim(col, F.lit(BLANKS)), field.dataType)
         else:
             col = nan_to_null(col, field.dataType)
         out.append(col.alias(field.name))
     return df.select(*out)
 
 
-def clean(df: DataFrame) -> DataFrame:
-    return clean_numbers(clean_states(clean_strings(df)))
+def clean(df: DataFrame, numbers: Sequence[str] = NUMERIC_EXPECTED) -> DataFrame:
+    """Strings and states, then numbers, which trim their own text and know no tokens."""
+    return clean_numbers(clean_states(clean_strings(df, without=numbers)), numbers)
 
 
 def cleaning_counts(df: DataFrame) -> DataFrame:
@@ -160,12 +177,14 @@ def integrity_counts(df: DataFrame) -> DataFrame:
 def transform(df: DataFrame, renames: Mapping[str, str] = RATE_RENAMES) -> DataFrame:
     """Names, values, derived columns, exact duplicates, negative rows, in this order.
 
-    Everything up to the duplicates is one narrow stage.
+    Everything up to the duplicates is one narrow stage. A percentage is negative
+    where its rate is, so the last step looks at the rates.
     """
+    negative = [c for c in NON_NEGATIVE_COLUMNS if not c.endswith("_percentage")]
     return (
         df.transform(standardize_columns, renames)
         .transform(clean)
         .transform(derive)
         .transform(drop_exact_duplicates)
-        .transform(drop_negatives)
+        .transform(drop_negatives, negative)
     )

@@ -161,9 +161,20 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blanks around names, spelled-out nulls, numbers as odd text, rates out of range, NaN."""
     df = _supplier(spark, sf_dir, _part(spark, sf_dir, table(spark, sf_dir, "lineitem")))
     line, quantity = F.col("l_linenumber"), F.col("l_quantity")
-    state = F.concat(F.lit("N"), F.char(65 + F.col("s_nationkey")))
-    size = F.floor(F.col("l_extendedprice") / 4).cast("string")
     name = F.col("p_name")
+    # Each value is built once between a prefix and a suffix, which keeps the
+    # generated code small.
+    lower = F.when(line == 2, 32).otherwise(0)
+    state = F.concat(
+        F.char(F.lit(ord("N")) + lower),
+        F.char(65 + F.col("s_nationkey") + lower),
+        F.when(quantity == 12, "X").when(line == 2, " ").otherwise(""),
+    )
+    size = F.concat(
+        F.when(line == 7, "-").when(line == 5, " ").otherwise(""),
+        F.floor(F.col("l_extendedprice") / 4).cast("string"),
+        F.when(line == 4, "d").when(line == 5, " ").when(line == 6, ".0").otherwise(""),
+    )
     return df.select(
         (F.col("l_orderkey") * 10 + line).alias("school_id"),
         F.when(quantity == 9, None)
@@ -171,18 +182,8 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line == 1, F.concat(F.lit(" "), name, F.lit("\t\n")))
         .otherwise(name)
         .alias("school_name"),
-        F.when(quantity == 11, "None")
-        .when(quantity == 12, F.concat(state, F.lit("X")))
-        .when(line == 2, F.concat(F.lower(state), F.lit(" ")))
-        .otherwise(state)
-        .alias("school_state"),
-        F.when((F.col("l_returnflag") == "R") & (line == 1), None)
-        .when(line == 4, F.concat(size, F.lit("d")))
-        .when(line == 5, F.concat(F.lit(" "), size, F.lit(" ")))
-        .when(line == 6, F.concat(size, F.lit(".0")))
-        .when(line == 7, F.concat(F.lit("-"), size))
-        .otherwise(size)
-        .alias("student_size"),
+        F.when(quantity == 11, "None").otherwise(state).alias("school_state"),
+        F.when(~((F.col("l_returnflag") == "R") & (line == 1)), size).alias("student_size"),
         F.when(quantity == 13, F.lit(float("nan")))
         .when(F.col("l_returnflag") != "A", F.round(F.col("l_discount") * 12, 4))
         .alias("admission_rate_overall"),
@@ -200,6 +201,7 @@ raw AS (
     CASE WHEN l_quantity = 9 THEN NULL WHEN l_quantity = 7 THEN 'nan'
       WHEN l_linenumber = 1 THEN ' ' || p_name || chr(9) || chr(10) ELSE p_name END AS school_name,
     CASE WHEN l_quantity = 11 THEN 'None'
+      WHEN l_quantity = 12 AND l_linenumber = 2 THEN lower('N' || chr(65 + s_nationkey)) || 'X'
       WHEN l_quantity = 12 THEN 'N' || chr(65 + s_nationkey) || 'X'
       WHEN l_linenumber = 2 THEN lower('N' || chr(65 + s_nationkey)) || ' '
       ELSE 'N' || chr(65 + s_nationkey) END AS school_state,
