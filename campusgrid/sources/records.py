@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,11 @@ def page_records(pages: DataFrame, column: str, schema: T.StructType = PAGE) ->
     return pages.select(F.explode(results).alias("record")).select("record.*")
 
 
+def union_records(*parts: DataFrame) -> DataFrame:
+    """Rows of several extracts under each other; columns one lacks are null there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_records(
     spark: SparkSession,
     path: str,

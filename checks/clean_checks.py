@@ -248,7 +248,7 @@ def _(spark, sf_dir):
     "FROM customer",
 )
 def _(spark, sf_dir):
-    stamp = F.lit("2024-01-02 03:04:05").cast("timestamp")
+    stamp = F.lit("2024-01-02 03:04:05").cast("timestamp_ntz")
     return R.with_origin(table(spark, sf_dir, "customer").select("c_custkey"), "api", stamp)
 
 

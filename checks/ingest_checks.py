@@ -120,6 +120,19 @@ def _(spark, sf_dir):
     return R.records_to_table(records, "raw").drop("_extracted_at")
 
 
+@check(
+    "u2_union_records",
+    """SELECT c_custkey AS id, c_name AS name, CAST(NULL AS DOUBLE) AS balance FROM customer
+      UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier""",
+)
+def _(spark, sf_dir):
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    return R.union_records(
+        customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")),
+        supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance")),
+    )
+
+
 def _nested(spark, sf_dir):
     """Customers as nested objects, parsed from JSON text."""
     text = F.to_json(

@@ -7,7 +7,7 @@ to broadcast is decided from its size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campusgrid.functions.classes import size_category
@@ -54,6 +54,11 @@ def _clients(spark, sf_dir, df: DataFrame, region: bool) -> DataFrame:
     return df.join(orders, df["l_orderkey"] == orders["o_orderkey"], "left")
 
 
+def _four_places(col: Column) -> Column:
+    """Rounded to four places with plain arithmetic; `round` goes through BigDecimal."""
+    return F.floor(col * 10000 + 0.5) / F.lit(10000.0)
+
+
 # --- institutions: one row per lineitem ------------------------------------
 
 
@@ -70,8 +75,8 @@ def institutions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     size = F.when(
         ~((flag == "R") & (line == 1)), F.floor(F.col("l_extendedprice") / 4).cast("double")
     )
-    admission = F.when(flag != "A", F.round(F.col("l_discount") * 10, 4))
-    completion = F.when(~((status == "O") & (line == 2)), F.round(F.col("l_tax") * 12.5, 4))
+    admission = F.when(flag != "A", _four_places(F.col("l_discount") * 10))
+    completion = F.when(~((status == "O") & (line == 2)), _four_places(F.col("l_tax") * 12.5))
     expressions = {
         "school_id": F.col("l_orderkey") * 10 + line,
         "school_name": F.col("p_name") if "p_name" in df.columns else None,
@@ -92,7 +97,7 @@ def institutions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         "admission_rate_percentage": admission * 100,
         "completion_rate": completion,
         "completion_rate_percentage": completion * 100,
-        "completion_rate_4yr": F.when(line % 3 == 0, F.round(F.col("l_tax") * 10, 4)),
+        "completion_rate_4yr": F.when(line % 3 == 0, _four_places(F.col("l_tax") * 10)),
         "tuition_in_state": F.when(line != 3, F.floor("l_extendedprice").cast("double")),
         "tuition_out_of_state": F.when(
             line != 3, F.floor(F.col("l_extendedprice") * (1 + F.col("l_tax"))).cast("double")
@@ -122,10 +127,10 @@ inst0 AS (
     CASE WHEN NOT (l_returnflag = 'R' AND l_linenumber = 1)
       THEN CAST(floor(l_extendedprice / 4) AS DOUBLE) END AS student_size,
     CASE WHEN l_linenumber > 4 THEN CAST(floor(l_quantity * 10) AS DOUBLE) END AS grad_students,
-    CASE WHEN l_returnflag <> 'A' THEN round(l_discount * 10, 4) END AS admission_rate,
+    CASE WHEN l_returnflag <> 'A' THEN floor((l_discount * 10) * 10000 + 0.5) / 10000 END AS admission_rate,
     CASE WHEN NOT (l_linestatus = 'O' AND l_linenumber = 2)
-      THEN round(l_tax * 12.5, 4) END AS completion_rate,
-    CASE WHEN l_linenumber % 3 = 0 THEN round(l_tax * 10, 4) END AS completion_rate_4yr,
+      THEN floor((l_tax * 12.5) * 10000 + 0.5) / 10000 END AS completion_rate,
+    CASE WHEN l_linenumber % 3 = 0 THEN floor((l_tax * 10) * 10000 + 0.5) / 10000 END AS completion_rate_4yr,
     CASE WHEN l_linenumber <> 3 THEN CAST(floor(l_extendedprice) AS DOUBLE) END AS tuition_in_state,
     CASE WHEN l_linenumber <> 3
       THEN CAST(floor(l_extendedprice * (1 + l_tax)) AS DOUBLE) END AS tuition_out_of_state,
@@ -185,9 +190,9 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(quantity == 11, "None").otherwise(state).alias("school_state"),
         F.when(~((F.col("l_returnflag") == "R") & (line == 1)), size).alias("student_size"),
         F.when(quantity == 13, F.lit(float("nan")))
-        .when(F.col("l_returnflag") != "A", F.round(F.col("l_discount") * 12, 4))
+        .when(F.col("l_returnflag") != "A", _four_places(F.col("l_discount") * 12))
         .alias("admission_rate_overall"),
-        F.round(F.col("l_tax") * 12.5 - 0.1, 4).alias("completion_rate_overall"),
+        _four_places(F.col("l_tax") * 12.5 - 0.1).alias("completion_rate_overall"),
     )
 
 
@@ -212,8 +217,8 @@ raw AS (
       WHEN l_linenumber = 7 THEN '-' || CAST(floor(l_extendedprice / 4) AS BIGINT)
       ELSE CAST(CAST(floor(l_extendedprice / 4) AS BIGINT) AS VARCHAR) END AS student_size,
     CASE WHEN l_quantity = 13 THEN 'NaN'::DOUBLE
-      WHEN l_returnflag <> 'A' THEN round(l_discount * 12, 4) END AS admission_rate_overall,
-    round(l_tax * 12.5 - 0.1, 4) AS completion_rate_overall
+      WHEN l_returnflag <> 'A' THEN floor((l_discount * 12) * 10000 + 0.5) / 10000 END AS admission_rate_overall,
+    floor((l_tax * 12.5 - 0.1) * 10000 + 0.5) / 10000 AS completion_rate_overall
   FROM lineitem
   LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN supplier ON l_suppkey = s_suppkey),

@@ -4,6 +4,8 @@ from functools import reduce
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from campusgrid.operators import joins as J
@@ -95,3 +97,24 @@ def test_label_lookup(spark, rows_of):
     df = spark.createDataFrame([(1,), (5,), (None,)], "c int")
     out = J.add_label(df, df["c"], {1: "one"}, "label")
     assert rows_of(out) == [(1, "one"), (5, None), (None, None)]
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    st.lists(
+        st.lists(st.one_of(st.none(), st.integers(0, 5)), min_size=1, max_size=6),
+        min_size=1,
+        max_size=3,
+    )
+)
+def test_any_surveys_like_pandas(spark, keys):
+    frames = {
+        f"S{i}": pd.DataFrame(
+            {"UNITID": pd.array(ks, dtype="Float64"), "V": [f"{i}.{j}v" for j in range(len(ks))]}
+        )
+        for i, ks in enumerate(keys)
+    }
+    out = J.merge_surveys(to_spark(spark, frames)).toPandas()
+    assert as_set(out) == as_set(merged_by_pandas(frames))
