@@ -7,56 +7,101 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from campusgrid.functions.text import quoted
 from campusgrid.operators.clean import prefix_columns
 from campusgrid.schema import SURVEY_KEY
 
 
-def _with_missing_keys(surveys: Mapping[str, DataFrame], key: str) -> dict[str, DataFrame]:
-    """Each survey plus one empty row for every key that only other surveys have."""
-    bits = {code: 1 << i for i, code in enumerate(surveys)}
-    keys = [df.select(F.col(key), F.lit(bits[c]).alias("_in")) for c, df in surveys.items()]
-    # One number per key instead of a flag per survey: the aggregate is the same
-    # for every survey, so its shuffle runs once and is reused.
-    presence = (
-        reduce(DataFrame.unionByName, keys).groupBy(key).agg(F.bit_or("_in").alias("_in"))
+SPLIT_ROWS = 1_000_000
+
+
+def _rows_per_key(surveys: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """Per key the rows each survey has (`_n0`, `_n1`, ...) and the largest of them (`_most`)."""
+    keys = [
+        df.select(F.col(key), F.lit(i).alias("_from")) for i, df in enumerate(surveys.values())
+    ]
+    per_survey = [
+        F.count(F.when(F.col("_from") == i, 1)).alias(f"_n{i}") for i in range(len(keys))
+    ]
+    counts = reduce(DataFrame.unionByName, keys).groupBy(key).agg(*per_survey)
+    return counts.withColumn("_most", F.greatest(*[F.col(f"_n{i}") for i in range(len(keys))]))
+
+
+def _with_missing_keys(df: DataFrame, i: int, counts: DataFrame, key: str) -> DataFrame:
+    """Survey i plus one empty row for every key that only others have.
+
+    `_most` is never 0. Naming it makes every use of the counts need the same
+    columns, so that their shuffle runs once and is reused.
+    """
+    missing = counts.filter((F.col("_most") > 0) & (F.col(f"_n{i}") == 0)).select(key)
+    return df.unionByName(missing, allowMissingColumns=True)
+
+
+def _salted(df: DataFrame, i: int, hot: DataFrame, key: str) -> DataFrame:
+    """Spread hot keys: the survey with most rows of a key deals them out, others repeat theirs.
+
+    The share a row goes to follows from its content, so that a task that runs
+    again deals alike.
+    """
+    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    dealt = F.pmod(F.xxhash64(*[quoted(c) for c in content]), F.col("_parts")).cast("int")
+    salts = (
+        F.when(F.col("_parts").isNull(), F.array(F.lit(0)))
+        .when(F.col("_largest") == i, F.array(dealt))
+        .otherwise(F.sequence(F.lit(0), F.col("_parts") - 1))
+    )
+    return (
+        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
+        .withColumn("_salt", F.explode(salts))
+        .drop("_hot", "_parts", "_largest")
     )
-    return {
-        code: df.unionByName(
-            presence.filter(F.col("_in").bitwiseAND(bits[code]) == 0).select(key),
-            allowMissingColumns=True,
-        )
-        for code, df in surveys.items()
-    }
 
 
-def merge_surveys(surveys: Mapping[str, DataFrame | None], key: str = SURVEY_KEY) -> DataFrame:
+def merge_surveys(
+    surveys: Mapping[str, DataFrame | None], key: str = SURVEY_KEY, split_rows: int = SPLIT_ROWS
+) -> DataFrame:
     """Full outer join of any number of surveys on the key, columns prefixed by survey code.
 
     A survey given as None is skipped. Keys may repeat: a key with m rows in
     one survey and n in another gives m * n rows, and null keys match null keys.
 
     A chain of full outer joins would shuffle the growing result again at every
-    step and keep a hot key in one task, since Spark cannot split an outer
-    join's padded side. So every survey first gets an empty row for each key it
-    lacks (found by one aggregate over the key columns). Then plain inner joins
-    give the same rows: each survey is shuffled once, the result keeps its
-    partitioning from join to join, and adaptive execution may split a hot key
-    on both sides.
+    step and keep a hot key in one task. So the rows per key are counted first,
+    over the key columns alone. Every survey then gets an empty row for each key
+    it lacks, which makes plain inner joins give the same rows: each survey is
+    shuffled once, and the result keeps its partitioning from join to join. A
+    key with more than `split_rows` rows in a survey is dealt over several
+    tasks. The broadcast list of such keys has at most one entry per
+    `split_rows` input rows.
     """
     present = {
         code: prefix_columns(df, code, [key]) for code, df in surveys.items() if df is not None
     }
     if not present:
         raise ValueError("no survey to merge")
-    frames = list(_with_missing_keys(present, key).values())
-    merged = frames[0]
-    for right in frames[1:]:
-        merged = merged.join(
-            right.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key"))
-        ).drop("_key")
-    return merged
+    if len(present) == 1:
+        return next(iter(present.values()))
+    counts = _rows_per_key(present, key)
+    largest = F.coalesce(
+        *[F.when(F.col(f"_n{i}") == F.col("_most"), i) for i in range(len(present))]
+    )
+    hot = counts.filter(F.col("_most") > split_rows).select(
+        F.col(key).alias("_hot"),
+        F.ceil(F.col("_most") / split_rows).cast("int").alias("_parts"),
+        largest.alias("_largest"),
+    )
+    merged = None
+    for i, df in enumerate(present.values()):
+        right = _salted(_with_missing_keys(df, i, counts, key), i, hot, key)
+        if merged is None:
+            merged = right
+            continue
+        right = right.withColumnsRenamed({key: "_key", "_salt": "_share"})
+        same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_share"))
+        merged = merged.join(right, same).drop("_key", "_share")
+    return merged.drop("_salt")
 
 
 def merge_unique_surveys(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -167,10 +168,10 @@ class SnapshotStore:
     def catalogue(self) -> DataFrame:
         try:
             return self.spark.read.schema(CATALOGUE).parquet(f"{self.root}/_catalogue")
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return self.spark.createDataFrame([], CATALOGUE)
-            raise
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], CATALOGUE)
 
     def store(
         self,

@@ -78,7 +78,8 @@ def load_table(
     """Write a table and report its row counts before and after.
 
     Both counts come from the Parquet footers. An empty input is refused before
-    anything is written.
+    anything is written; that look starts the plan of `df` once more, so give it
+    rows read from a written table, as the staged run does.
     """
     if if_exists not in TABLE_MODES:
         raise ValueError(f"if_exists must be one of {sorted(TABLE_MODES)}")

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from campusgrid.operators import joins as J
 
@@ -53,8 +54,9 @@ def test_fixture(spark, rows_of):
         assert rows_of(out) == expected
 
 
-def test_repeated_and_null_keys_like_pandas(spark):
-    out = J.merge_surveys(to_spark(spark, FRAMES)).toPandas()
+@pytest.mark.parametrize("split", [1, 2, 1_000_000])
+def test_repeated_and_null_keys_like_pandas(spark, split):
+    out = J.merge_surveys(to_spark(spark, FRAMES), split_rows=split).toPandas()
     assert as_set(out) == as_set(merged_by_pandas(FRAMES))
 
 
@@ -63,11 +65,12 @@ def test_unique_merge_refuses_repeated_keys(spark):
         J.merge_unique_surveys(to_spark(spark, FRAMES)).collect()
 
 
-def test_hot_key(spark):
+@pytest.mark.parametrize("split", [50, 1_000_000])
+def test_hot_key(spark, split):
     """One key holds most rows of one survey; it joins one row of the other."""
     big = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS UNITID", "id AS V")
     small = spark.createDataFrame([(7, "x"), (-1, "y")], "UNITID bigint, W string")
-    out = J.merge_surveys({"A": big, "B": small})
+    out = J.merge_surveys({"A": big, "B": small}, split_rows=split)
     assert out.count() == 3001
     assert out.filter("B_W = 'x'").count() == 1000 + 1
     assert out.filter("A_V IS NULL").count() == 1
@@ -116,5 +119,21 @@ def test_any_surveys_like_pandas(spark, keys):
         )
         for i, ks in enumerate(keys)
     }
-    out = J.merge_surveys(to_spark(spark, frames)).toPandas()
+    out = J.merge_surveys(to_spark(spark, frames), split_rows=1).toPandas()
     assert as_set(out) == as_set(merged_by_pandas(frames))
+
+
+def test_hot_key_is_spread(spark):
+    """The rows of one key reach several tasks."""
+    big = spark.range(4000).selectExpr("7 AS UNITID", "id AS V")
+    small = spark.createDataFrame([(7, "x")], "UNITID bigint, W string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = J.merge_surveys({"A": big, "B": small}, split_rows=100)
+        per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in per_task) == 4000
+    assert max(r["count"] for r in per_task) < 2500
