@@ -1,4 +1,4 @@
-"""Quality checks. Each report is a DataFrame made in one pass over the rows."""
+"""Quality checks. Each report is a DataFrame, all its counters from one aggregate."""
 
 from __future__ import annotations
 
@@ -23,6 +23,7 @@ from campusgrid.schema import (
 
 Ranges = Mapping[str, tuple[float | None, float | None]]
 
+REPORT = "severity string, check string, column string, affected_rows bigint, detail string"
 ERROR, WARNING, CORRECTION, INFO = "ERROR", "WARNING", "CORRECTION", "INFO"
 
 
@@ -342,110 +343,137 @@ def validate(
     return deduplicate(rows, keys, "first", order_by) if remove_duplicates else rows
 
 
-def validation_report(
+def validation_counts(
     df: DataFrame,
     remove_out_of_range: bool = True,
     remove_duplicates: bool = True,
     ranges: Ranges = RANGES,
     keys: Sequence[str] = DUPLICATE_KEY,
     expected: Mapping[str, str] = EXPECTED_TYPES,
-    critical: Sequence[str] = CRITICAL_COLUMNS,
-    threshold: float = NULL_THRESHOLD_PERCENT,
-    required: Sequence[str] = REQUIRED_COLUMNS,
 ) -> DataFrame:
-    """What `validate` finds and does: (severity, check, column, affected_rows, detail).
+    """Row counts of `validate` in one row, without making its rows.
 
-    One scan and one shuffle: all counters are summed per key (map-side first),
-    and the sums of the keys are added up. That makes them exact whatever tasks
-    are run again, which counters taken on the side of a job are not. With
-    missing columns the report is a single error.
+    Per key only two numbers are shuffled, after a map-side sum.
     """
-    spark = df.sparkSession
-    if missing := missing_columns(df, required):
-        row = (ERROR, "schema", ",".join(missing), 0, "missing columns")
-        return spark.createDataFrame(
-            [row], "severity string, check string, column string, affected_rows bigint, detail string"
-        )
-    types = {f.name: f for f in df.schema.fields if f.name in expected}
+    rows = coerce_types(df, expected)
+    kept = ~out_of_range(rows, ranges) if remove_out_of_range else F.lit(True)
+    per_key = rows.groupBy(*[quoted(k) for k in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(kept).alias("_kept")
+    )
+    copies = F.when(F.col("_kept") > 1, F.col("_kept"))
+    counts = per_key.agg(
+        _total("_rows").alias("rows"),
+        _total("_kept").alias("in_range"),
+        _total(copies).alias("rows_sharing_a_key"),
+        _total(copies - 1).alias("duplicates"),
+    )
+    spare = F.col("duplicates") if remove_duplicates else F.lit(0)
+    return counts.withColumn("validated", F.col("in_range") - spare)
+
+
+def _line(
+    severity: str, check: str, column: str, affected: Column, detail: Column | str
+) -> Column:
+    return F.struct(
+        F.lit(severity).alias("severity"),
+        F.lit(check).alias("check"),
+        F.lit(column).alias("column"),
+        affected.cast("bigint").alias("affected_rows"),
+        (F.lit(detail) if isinstance(detail, str) else detail).alias("detail"),
+    )
+
+
+def _lines(counts: DataFrame, lines: Sequence[Column]) -> DataFrame:
+    """The lines that are not null, from a row of counts."""
+    return counts.select(F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
+
+
+def _value_lines(
+    df: DataFrame,
+    remove_out_of_range: bool,
+    ranges: Ranges,
+    expected: Mapping[str, str],
+    critical: Sequence[str],
+    threshold: float,
+) -> DataFrame:
+    """Findings about single rows: nulls, lost values, ranges. One aggregate, no shuffle of rows."""
+    types = [f for f in df.schema.fields if f.name in expected]
     nulls = [c for c in critical if c in df.columns]
     checked = [c for c in ranges if c in df.columns]
-
+    coerced = {f.name: _coerced(f, expected[f.name]) for f in types}
     # Each value is coerced once; beside it stands whether the raw one was missing.
     rows = df.select(
-        *[
-            (_coerced(f, expected[f.name]) if f.name in types else quoted(f.name)).alias(f.name)
-            for f in df.schema.fields
-            if f.name in {*keys, *checked, *types}
-        ],
+        *[coerced.get(c, quoted(c)).alias(c) for c in dict.fromkeys([*coerced, *checked])],
         *[
             _missing(quoted(c), df.schema[c].dataType).alias(f"_absent_{c}")
-            for c in {*types, *nulls}
+            for c in dict.fromkeys([*coerced, *nulls])
         ],
     )
-    bad = out_of_range(rows, ranges)
-    kept = ~bad if remove_out_of_range else F.lit(True)
-    counters = {
-        "_rows": F.count(F.lit(1)),
-        "_bad": F.count_if(bad),
-        "_kept": F.count_if(kept),
-    }
-    for i, c in enumerate(nulls):
-        counters[f"_null_{i}"] = F.count_if(F.col(f"_absent_{c}"))
-    for i, c in enumerate(types):
-        counters[f"_lost_{i}"] = F.count_if(~F.col(f"_absent_{c}") & F.col(c).isNull())
-    for i, c in enumerate(checked):
-        below, above = _outside(rows, c, ranges[c])
-        counters[f"_range_{i}"] = F.count_if(below | above)
-    per_key = rows.groupBy(*[quoted(k) for k in keys]).agg(
-        *[counter.alias(name) for name, counter in counters.items()]
-    )
-    copies = F.when(F.col("_kept") > 1, F.col("_kept"))
-    totals = per_key.agg(
-        *[_total(name).alias(name) for name in counters],
-        _total(copies).alias("_involved"),
-        _total(copies - 1).alias("_spare"),
-    )
-
-    def line(severity: str, check: str, column: str, affected: Column, detail: Column) -> Column:
-        return F.struct(
-            F.lit(severity).alias("severity"),
-            F.lit(check).alias("check"),
-            F.lit(column).alias("column"),
-            affected.cast("bigint").alias("affected_rows"),
-            detail.cast("string").alias("detail"),
-        )
-
-    def only_if(condition: Column, row: Column) -> Column:
-        return F.when(condition, row)
-
+    counters = [F.count(F.lit(1)).alias("_rows"), F.count_if(out_of_range(rows, ranges)).alias("_bad")]
     lines = []
     for i, c in enumerate(nulls):
+        counters.append(F.count_if(F.col(f"_absent_{c}")).alias(f"_null_{i}"))
         n = F.col(f"_null_{i}")
         percent = F.coalesce(_percent(n, F.col("_rows")), F.lit(0.0))
         text = F.format_string("%.2f%% null", percent)
-        lines.append(only_if(percent > threshold, line(WARNING, "nulls", c, n, text)))
-    for i, c in enumerate(types):
+        lines.append(F.when(percent > threshold, _line(WARNING, "nulls", c, n, text)))
+    for i, c in enumerate(coerced):
+        lost = ~F.col(f"_absent_{c}") & F.col(c).isNull()
+        counters.append(F.count_if(lost).alias(f"_lost_{i}"))
         n = F.col(f"_lost_{i}")
-        lines.append(only_if(n > 0, line(CORRECTION, "types", c, n, F.lit("values set to null"))))
+        lines.append(F.when(n > 0, _line(CORRECTION, "types", c, n, "values set to null")))
     for i, c in enumerate(checked):
+        below, above = _outside(rows, c, ranges[c])
+        counters.append(F.count_if(below | above).alias(f"_range_{i}"))
         n = F.col(f"_range_{i}")
         low, high = ranges[c]
-        limits = F.lit(f"outside {'' if low is None else low}..{'' if high is None else high}")
-        lines.append(only_if(n > 0, line(WARNING, "ranges", c, n, limits)))
+        limits = f"outside {'' if low is None else low}..{'' if high is None else high}"
+        lines.append(F.when(n > 0, _line(WARNING, "ranges", c, n, limits)))
     if remove_out_of_range:
         n = F.col("_bad")
-        lines.append(only_if(n > 0, line(CORRECTION, "ranges", "", n, F.lit("rows removed"))))
-    n, key = F.col("_spare"), ",".join(keys)
-    shared = F.format_string("%d rows share a key", F.col("_involved"))
-    lines.append(only_if(n > 0, line(WARNING, "duplicates", key, n, shared)))
-    removed = F.col("_rows") - F.col("_kept")
+        lines.append(F.when(n > 0, _line(CORRECTION, "ranges", "", n, "rows removed")))
+    return _lines(rows.agg(*counters), lines)
+
+
+def _key_lines(counts: DataFrame, keys: Sequence[str], remove_duplicates: bool) -> DataFrame:
+    """Findings about keys, and the totals."""
+    n, key = F.col("duplicates"), ",".join(keys)
+    shared = F.format_string("%d rows share a key", F.col("rows_sharing_a_key"))
+    lines = [F.when(n > 0, _line(WARNING, "duplicates", key, n, shared))]
     if remove_duplicates:
-        lines.append(only_if(n > 0, line(CORRECTION, "duplicates", key, n, F.lit("rows removed"))))
-        removed = removed + n
-    lines.append(line(INFO, "total_rows", "", F.col("_rows"), F.lit("")))
-    lines.append(line(INFO, "validated_rows", "", F.col("_rows") - removed, F.lit("")))
-    lines.append(line(INFO, "removed_rows", "", removed, F.lit("")))
-    return totals.select(F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
+        lines.append(F.when(n > 0, _line(CORRECTION, "duplicates", key, n, "rows removed")))
+    removed = F.col("rows") - F.col("validated")
+    lines.append(_line(INFO, "total_rows", "", F.col("rows"), ""))
+    lines.append(_line(INFO, "validated_rows", "", F.col("validated"), ""))
+    lines.append(_line(INFO, "removed_rows", "", removed, ""))
+    return _lines(counts, lines)
+
+
+def validation_report(
+    df: DataFrame,
+    remove_out_of_range: bool = True,
+    remove_duplicates: bool = True,
+    ranges: Ranges = RANGES,
+    keys: Sequence[str] = DUPLICATE_KEY,
+    expected: Mapping[str, str] = EXPECTED_TYPES,
+    critical: Sequence[str] = CRITICAL_COLUMNS,
+    threshold: float = NULL_THRESHOLD_PERCENT,
+    required: Sequence[str] = REQUIRED_COLUMNS,
+) -> DataFrame:
+    """What `validate` finds and does: (severity, check, column, affected_rows, detail).
+
+    Two scans of the checked columns. Findings about single rows need no shuffle;
+    only the key and two counts per key are shuffled for the rest, since most
+    keys occur once and every further counter would travel with each of them.
+    All counts are aggregates, exact whatever tasks are run again. With missing
+    columns the report is a single error.
+    """
+    if missing := missing_columns(df, required):
+        row = (ERROR, "schema", ",".join(missing), 0, "missing columns")
+        return df.sparkSession.createDataFrame([row], REPORT)
+    values = _value_lines(df, remove_out_of_range, ranges, expected, critical, threshold)
+    counts = validation_counts(df, remove_out_of_range, remove_duplicates, ranges, keys, expected)
+    return values.unionByName(_key_lines(counts, keys, remove_duplicates))
 
 
 def report_summary(report: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from campusgrid.operators.clean import transform
-from campusgrid.operators.quality import require_columns, validate, validation_report
+from campusgrid.operators.quality import require_columns, validate, validation_counts
 from campusgrid.sources.sinks import load_table, stamp
 
 LOG = (
@@ -81,10 +81,10 @@ def run(
     """Run all stages below `folder` and return the log, one row per stage.
 
     The extract is written once and read back, so the later stages neither
-    compute it again nor depend on the executors that made it. Validation is a
-    report over five of its columns; rows are only written when they are
-    transformed. All counts come from those tables and that report, so a task
-    that runs twice is not counted twice. The first failing stage ends the run.
+    compute it again nor depend on the executors that made it. Validation counts
+    over five of its columns; rows are only written when they are transformed.
+    All counts come from those tables and that aggregate, so a task that runs
+    twice is not counted twice. The first failing stage ends the run.
     """
     spark = records.sparkSession
     batch = batch_id()
@@ -96,8 +96,7 @@ def run(
         return spark.read.parquet(staging).count()
 
     def check() -> int:
-        report = validation_report(require_columns(spark.read.parquet(staging)))
-        return report.filter(F.col("check") == "validated_rows").first().affected_rows
+        return validation_counts(require_columns(spark.read.parquet(staging))).first().validated
 
     def change() -> int:
         rows = validate(spark.read.parquet(staging), order_by)
