@@ -501,7 +501,7 @@ def register_views(df: DataFrame) -> None:
 # --- queries on the views --------------------------------------------------
 
 
-def state_scorecard(df: DataFrame, min_schools: int = 50) -> DataFrame:
+def state_overview(df: DataFrame, min_schools: int = 50) -> DataFrame:
     """Performance of states with enough institutions, by value score."""
     return (
         state_performance(df)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import codecs
 import io
+import sys
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,9 @@ from campusgrid.schema import (
 
 CHUNK_ROWS = 10_000
 
+# The archive reader travels to the workers by value: they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def survey_catalogue(spark: SparkSession) -> DataFrame:
     """One row per survey: code, name, description, frequency, file suffixes, years."""

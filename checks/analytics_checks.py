@@ -277,14 +277,14 @@ def _(spark, sf_dir):
 
 
 @check(
-    "a13_state_scorecard",
+    "a13_state_overview",
     inst(f"""
       SELECT state_code, avg_completion_rate_pct, avg_10yr_earnings, value_score,
         state_performance_tier
       FROM ({STATE_PERFORMANCE}) WHERE total_institutions >= 2000"""),
 )
 def _(spark, sf_dir):
-    return A.state_scorecard(institutions(spark, sf_dir, *PERFORMANCE), 2000)
+    return A.state_overview(institutions(spark, sf_dir, *PERFORMANCE), 2000)
 
 
 # --- projections -----------------------------------------------------------

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,6 +122,9 @@ def _(spark, sf_dir):
 # --- archives --------------------------------------------------------------
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _zipped(batches):
     """One archive per batch of rows."""
     for batch in batches:
