@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusgrid.llm import bpe, decontaminate, language, quality
+from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repeats, spotsigs
 from campusgrid.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op1_spotsigs")
+def spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -40,6 +45,11 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.withColumn("held_out", held_out), model, ("doc_id", "held_out"))
 
 
+@_query("op4_perspectives", chat.ROTATE_SQL)
+def perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 @_query("op5_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -47,6 +57,30 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("contaminated", F.col("n_hit") > 0)
 
 
+@_query("op6_class_lm")
+def class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold_of(F.col("doc_id"), 5) == 1)
+    model = brown.train(docs.filter(~F.col("held_out")))
+    return brown.score(docs, model, ("doc_id", "held_out"))
+
+
+@_query("op7_repeated_spans")
+def repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), digests=True)
+
+
+@_query(
+    "op8_line_templates",
+    f"""WITH {lines.drop_recurring_sql("documents")}
+    SELECT doc_id, n_lines, n_dropped, sha256(coalesce(text, '')) AS text_sha256 FROM lined""",
+)
+def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_recurring(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    )
+
+
 @_query("op10_quality")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("fold", fold_of(F.col("doc_id"), 4))
