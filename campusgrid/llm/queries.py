@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repeats, spotsigs
+from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repeats, similar, spotsigs
 from campusgrid.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op9_near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @_query("op10_quality")
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("fold", fold_of(F.col("doc_id"), 4))
