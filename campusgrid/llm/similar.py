@@ -35,7 +35,9 @@ FREQUENT = 200_000
 #: Sets that may be picked by a broadcast list of ids, 8 bytes each; more are joined.
 PICKED = 1_000_000
 #: Fingerprints a task remembers in order to send a set once.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
+#: Shingles a task counts at a time.
+GATHERED = 3_000_000
 
 _SALT = np.uint64(0x27D4EB2F165667C5)
 
@@ -89,26 +91,35 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
 def frequent_shingles(docs: DataFrame, size: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted by value, and their counts.
 
-    A task counts sets per shingle and batch, equal sets once, and sends on what occurs
-    twice or more; what is frequent is so in many batches.
+    A task counts sets per shingle, equal sets once, some millions of shingles at a time,
+    and sends on what occurs twice or more; what is frequent is so again and again.
     """
 
+    def counted(found: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+        found.clear()
+        every.sort()
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])[: len(every)])
+        counts = np.diff(np.append(first, len(every)))
+        twice = counts >= 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array(signed(every[first[twice]])), pa.array(counts[twice])], names=["shingle", "n"]
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, found, gathered = set(), [], 0
         for batch in batches:
-            seen, found = set(), []
             for _, words in chunks(batch.column(0), True, BLANK_SEPARATED):
                 for shingles in _sets(words, size):
                     own = _identity(shingles)
                     if own not in seen:
                         seen.add(own)
                         found.append(shingles)
-            every = np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.uint64)
-            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else every.astype(int)
-            counts = np.diff(np.append(first, len(every)))
-            twice = counts >= 2
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(every[first[twice]])), pa.array(counts[twice])], names=["shingle", "n"]
-            )
+                        gathered += len(shingles)
+                if gathered >= GATHERED:
+                    yield counted(found)
+                    seen, gathered = set(), 0
+        yield counted(found)
 
     parts = docs.select("text").mapInArrow(run, "shingle bigint, n bigint")
     top = parts.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most).toArrow()
@@ -132,8 +143,8 @@ def postings(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarra
         values, counts = shared.value
         seen: set[int] = set()
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[] for _ in range(5)]
             for _, words in chunks(batch.column(0), True, BLANK_SEPARATED):
+                columns: list[list[np.ndarray]] = [[] for _ in range(5)]
                 for shingles in _sets(words, size):
                     n = len(shingles)
                     own = _identity(shingles)[0] if n else 0
@@ -155,10 +166,11 @@ def postings(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarra
                         column.append(np.full(length, value, dtype=np.int64))
                     columns[3].append(signed(prefix))
                     columns[4].append(np.arange(length))
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in columns], names=["set_id", "n", "grp", "shingle", "place"]
-                )
+                if columns[0]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(c)) for c in columns],
+                        names=["set_id", "n", "grp", "shingle", "place"],
+                    )
 
     return docs.select("text").mapInArrow(run, "set_id bigint, n bigint, grp bigint, shingle bigint, place bigint")
 
@@ -185,8 +197,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = shared.value, set()
         for batch in batches:
-            found, sets = [], []
             for _, words in chunks(batch.column(0), True, BLANK_SEPARATED):
+                found, sets = [], []
                 for shingles in _sets(words, size):
                     if not len(shingles):
                         continue
@@ -198,10 +210,10 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
                     seen.add(one)
                     found.append(one)
                     sets.append(signed(shingles))
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
-                )
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
+                    )
 
     sets = docs.select("text").mapInArrow(run, "id bigint, shingles array<bigint>")
     if not few:
