@@ -9,8 +9,9 @@ groups are paired, by shingle, size and place of the shingle. Pairs of groups ar
 then expanded to their members and those verified on the whole sets.
 
 Members that are linked already needn't be compared. So a first round compares each
-group, and each member, with one leader per shingle only; a second round compares
-what the first one left in different components.
+group, and each member, with a few leaders per shingle only; later rounds compare what
+is still in different components, one pair of sets per pair of components at a time.
+Before whole sets are read, a sketch rules out pairs that differ too much.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ REMEMBERED = 100_000
 #: Shingles a task counts at a time.
 GATHERED = 3_000_000
 
+#: 64-bit words of a sketch, and orders in which the first round picks leaders.
+SKETCH_WORDS = 16
+LEADERS = 3
+
 _SALT = np.uint64(0x27D4EB2F165667C5)
 
 
@@ -65,27 +70,34 @@ def _identity(shingles: np.ndarray) -> tuple[int, int]:
     return int(pair[0]), int(pair[1])
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    flips = np.bincount((shingles % np.uint64(64 * SKETCH_WORDS)).astype(np.int64), minlength=64 * SKETCH_WORDS)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+
+
 def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, mark, n, set_id, check) of every document; n = 0 without words.
+    """(doc_id, mark, n, set_id, check, sketch) of every document; n = 0 without words.
 
-    mark: fingerprint of the text.
+    mark: fingerprint of the text. sketch: 1024 bits; a shingle flips one of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two = [], [], []
+            n, one, two, bits = [], [], [], []
             for _, words in chunks(batch.column(2), True, BLANK_SEPARATED):
                 for shingles in _sets(words, size):
                     a, b = _identity(shingles)
+                    bits.append(_sketch(shingles))
                     n.append(len(shingles))
                     one.append(a)
                     two.append(b)
             made = [pa.array(c, pa.int64()) for c in (n, one, two)]
             own = [batch.column(0), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(own + made, names=["doc_id", "mark", "n", "set_id", "check"])
+            made.append(pa.array(bits, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(own + made, names=["doc_id", "mark", "n", "set_id", "check", "sketch"])
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("mark"), F.col("text"))
-    return source.mapInArrow(run, "doc_id bigint, mark bigint, n bigint, set_id bigint, check bigint")
+    return source.mapInArrow(run, "doc_id bigint, mark bigint, n bigint, set_id bigint, check bigint, sketch array<bigint>")
 
 
 def frequent_shingles(docs: DataFrame, size: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -183,6 +195,15 @@ def _may_link(n: Column, place: Column, other_n: Column, other_place: Column, pe
     return sizes & ((100 + percent) * most >= percent * (n + other_n))
 
 
+def _sketches_allow(n: Column, sketch: Column, other_n: Column, other_sketch: Column, percent: int) -> Column:
+    """Whether the sets can differ by as little as links do: each bit that differs stands
+    for a shingle that only one of them has."""
+    differ = sum(
+        (F.bit_count(sketch[i].bitwiseXOR(other_sketch[i])) for i in range(SKETCH_WORDS)), F.lit(0)
+    )
+    return (100 + percent) * differ <= (100 - percent) * (n + other_n)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked: int = PICKED) -> DataFrame:
     """The pairs (a, b) of sets that link, judged on the whole sets.
 
@@ -226,67 +247,101 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
     return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of the distinct sets that link with another one."""
+def links(docs: DataFrame, known_sets: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(node, component) of the distinct sets that link with another one.
+
+    known_sets: (set_id, sketch), one row per distinct set.
+    """
     frequent = frequent_shingles(docs, size)
-    # Only shingles of two sets or more matter.
     posted = postings(docs, size, percent, frequent)
     by_shingle = Window.partitionBy("shingle")
-    lists = written(
+    # Only shingles of two sets or more matter.
+    shared = (
         posted.withColumn("low", F.min("set_id").over(by_shingle))
         .withColumn("high", F.max("set_id").over(by_shingle))
         .filter("low <> high")
-        .select("set_id", "n", "grp", "shingle", "place")
-        .distinct()
     )
+    firsts = [F.any_value(c).alias(c) for c in ("n", "grp", "place")]
+    lists = written(shared.groupBy("shingle", "set_id").agg(*firsts))
     members = lists.groupBy("set_id").agg(F.any_value("grp").alias("grp"), F.any_value("n").alias("n"))
-    members = written(members)
-
-    # Round 1: members with the leader of their group, groups with the leader of a shingle.
+    members = written(members.join(known_sets.select("set_id", "sketch"), "set_id"))
     heads = members.groupBy("grp").agg(F.min("set_id").alias("head"))
-    within = members.join(heads, "grp").filter("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
-    grouped = lists.groupBy("shingle", "grp").agg(F.any_value("n").alias("n"), F.any_value("place").alias("place"), F.min("set_id").alias("id"))
-    grouped = written(grouped)
-    first = F.min(F.struct("grp", "n", "place", "id")).over(Window.partitionBy("shingle")).alias("first")
-    led = grouped.select("*", first).filter(F.col("grp") != F.col("first.grp"))
-    led = led.filter(_may_link(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"), percent))
-    between = led.select(F.col("first.grp").alias("ga"), F.col("grp").alias("gb")).distinct()
-    named = between.join(heads.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga").join(
-        heads.select(F.col("grp").alias("gb"), F.col("head").alias("b")), "gb"
+    grouped = written(
+        lists.groupBy("shingle", "grp").agg(F.any_value("n").alias("n"), F.any_value("place").alias("place"))
     )
-    found = written(verified(written(within.union(named.select("a", "b"))), docs, size, percent))
+    one = members.select(*[F.col(c).alias(f"{c}_a") for c in members.columns])
+    two = members.select(*[F.col(c).alias(f"{c}_b") for c in members.columns])
+    alike = _sketches_allow(F.col("n_a"), F.col("sketch_a"), F.col("n_b"), F.col("sketch_b"), percent)
+
+    # Members with the head of their group; groups with leaders of each of their shingles.
+    pairs = members.join(heads, "grp").filter("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
+    for turn in range(LEADERS):
+        order = F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "n", "place")
+        led = grouped.select("*", F.min(order).over(Window.partitionBy("shingle")).alias("first"))
+        led = led.filter(F.col("grp") != F.col("first.grp"))
+        led = led.filter(_may_link(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"), percent))
+        between = led.select(F.col("first.grp").alias("ga"), F.col("grp").alias("gb")).distinct()
+        named = between.join(heads.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga").join(
+            heads.select(F.col("grp").alias("gb"), F.col("head").alias("b")), "gb"
+        )
+        pairs = pairs.union(named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    able = pairs.distinct().join(one, F.col("a") == F.col("set_id_a")).join(two, (F.col("b") == F.col("set_id_b")) & alike)
+    found = written(verified(written(able.select("a", "b")), docs, size, percent))
     known = components(found)
 
-    # Round 2: what still stands apart, pair by pair.
+    # What still stands apart: every pair of groups that may link, by their members.
     labelled = members.join(known, F.col("set_id") == F.col("node"), "left").select(
-        "set_id", "grp", "n", F.coalesce("component", "set_id").alias("label")
+        "set_id", "grp", "n", "sketch", F.coalesce("component", "set_id").alias("label")
     )
     labelled = written(labelled)
     spread = labelled.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     marked = grouped.select("shingle", "grp", "n", "place").join(spread, "grp")
-    mixed_lists = marked.groupBy("shingle").agg(F.min("low").alias("_low"), F.max("high").alias("_high"), F.count("*").alias("groups"))
-    open_lists = marked.join(mixed_lists.filter("_low <> _high AND groups > 1").select("shingle"), "shingle")
-    open_lists = written(open_lists)
+    several = marked.groupBy("shingle").agg(F.min("low").alias("_low"), F.max("high").alias("_high"))
+    open_lists = marked.join(several.filter("_low <> _high").select("shingle"), "shingle")
+    # A group of one set carries its sketch, so that the join itself rules pairs out.
+    single = labelled.groupBy("grp").agg(
+        F.when(F.count("*") == 1, F.any_value("sketch")).alias("sketch")
+    )
+    open_lists = written(open_lists.join(single, "grp"))
     other = open_lists.select(*[F.col(c).alias(f"o_{c}") for c in open_lists.columns])
     apart = ~((F.col("low") == F.col("high")) & (F.col("o_low") == F.col("o_high")) & (F.col("low") == F.col("o_low")))
+    differ = _sketches_allow(F.col("n"), F.col("sketch"), F.col("o_n"), F.col("o_sketch"), percent)
     crossing = open_lists.join(
         other,
         (F.col("shingle") == F.col("o_shingle"))
         & (F.col("grp") < F.col("o_grp"))
         & apart
-        & _may_link(F.col("n"), F.col("place"), F.col("o_n"), F.col("o_place"), percent),
+        & _may_link(F.col("n"), F.col("place"), F.col("o_n"), F.col("o_place"), percent)
+        & F.coalesce(differ, F.lit(True)),
     )
     crossing = crossing.select(F.col("grp").alias("ga"), F.col("o_grp").alias("gb")).distinct()
     inside = spread.filter("low <> high").select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))
-    one = labelled.select(F.col("grp").alias("ga"), F.col("set_id").alias("a"), F.col("label").alias("la"))
-    two = labelled.select(F.col("grp").alias("gb"), F.col("set_id").alias("b"), F.col("label").alias("lb"))
-    expanded = crossing.union(inside).join(one, "ga").join(two, "gb")
-    left_over = expanded.filter((F.col("la") != F.col("lb")) & ((F.col("ga") != F.col("gb")) | (F.col("a") < F.col("b"))))
-    rest = written(left_over.select("a", "b").distinct())
-    if rest.isEmpty():
-        return known
-    more = written(verified(rest, docs, size, percent))
-    return components(found.unionByName(more))
+    one = labelled.select(*[F.col(c).alias(f"{c}_a") for c in labelled.columns])
+    two = labelled.select(*[F.col(c).alias(f"{c}_b") for c in labelled.columns])
+    expanded = crossing.union(inside).join(one, F.col("ga") == F.col("grp_a")).join(
+        two,
+        (F.col("gb") == F.col("grp_b"))
+        & (F.col("label_a") != F.col("label_b"))
+        & ((F.col("ga") != F.col("gb")) | (F.col("set_id_a") < F.col("set_id_b")))
+        & alike,
+    )
+    rest = written(expanded.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct())
+    while not rest.isEmpty():
+        named = rest.join(known.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+            known.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
+        )
+        named = named.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+        named = written(named.filter("ca <> cb"))
+        ends = [F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")]
+        chosen = named.groupBy(*ends).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+        chosen = written(chosen)
+        if chosen.isEmpty():
+            break
+        more = verified(chosen, docs, size, percent)
+        found = written(found.unionByName(more))
+        known = components(found)
+        rest = written(named.select("a", "b").join(chosen, ["a", "b"], "left_anti"))
+    return known
 
 
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -294,9 +349,13 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     component, null without words."""
     texts = docs.select("doc_id", "text")
     sets = written(document_sets(texts, size))
-    smallest = sets.filter("n > 0").groupBy("set_id", "check", "n").agg(F.min("doc_id").alias("low"))
-    smallest = written(smallest.select("set_id", "low"))
-    found = links(texts, size, percent)
+    smallest = (
+        sets.filter("n > 0")
+        .groupBy("set_id", "check", "n")
+        .agg(F.min("doc_id").alias("low"), F.any_value("sketch").alias("sketch"))
+    )
+    smallest = written(smallest.select("set_id", "low", "sketch"))
+    found = links(texts, smallest, size, percent)
     labels = smallest.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "low", F.coalesce("component", "set_id").alias("label")
     )
