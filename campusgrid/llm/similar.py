@@ -9,8 +9,8 @@ groups are paired, by shingle, size and place of the shingle. Pairs of groups ar
 then expanded to their members and those verified on the whole sets.
 
 Members that are linked already needn't be compared. So a first round compares each
-group, and each member, with a few leaders per shingle only; later rounds compare what
-is still in different components, one pair of sets per pair of components at a time.
+group, and each member, with a few leaders per shingle only; a second round compares
+what is still in different components.
 Before whole sets are read, a sketch rules out pairs that differ too much.
 """
 
@@ -326,22 +326,10 @@ def links(docs: DataFrame, known_sets: DataFrame, size: int = SHINGLE, percent:
         & alike,
     )
     rest = written(expanded.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct())
-    while not rest.isEmpty():
-        named = rest.join(known.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
-            known.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left"
-        )
-        named = named.select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-        named = written(named.filter("ca <> cb"))
-        ends = [F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")]
-        chosen = named.groupBy(*ends).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-        chosen = written(chosen)
-        if chosen.isEmpty():
-            break
-        more = verified(chosen, docs, size, percent)
-        found = written(found.unionByName(more))
-        known = components(found)
-        rest = written(named.select("a", "b").join(chosen, ["a", "b"], "left_anti"))
-    return known
+    if rest.isEmpty():
+        return known
+    more = verified(rest, docs, size, percent)
+    return components(found.unionByName(more))
 
 
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
