@@ -130,10 +130,11 @@ def merge_unique_surveys(
         *[F.count(F.col(c)).alias(f"_rows_{c}") for c in present],
     )
     most = F.greatest(F.lit(0), *[F.col(f"_rows_{c}") for c in present])
-    checked = F.when(most <= 1, F.col(key)).otherwise(
+    # A filter, since a column nobody reads would be pruned together with the check.
+    unique = F.when(most <= 1, F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("key repeats within a survey: "), F.col(key).cast("string")))
     )
-    return once.select(checked.alias(key), *[F.col(f"{c}.*") for c in present])
+    return once.filter(unique).select(key, *[F.col(f"{c}.*") for c in present])
 
 
 def count_related(

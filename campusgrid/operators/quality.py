@@ -103,7 +103,7 @@ def completeness(
     counts = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct(F.col(distinct)).alias("states"),
-        *[F.count(F.col(c)).alias(f"_{i}") for i, c in enumerate(names)],
+        *[F.count_if(~_missing(F.col(c), df.schema[c].dataType)).alias(f"_{i}") for i, c in enumerate(names)],
     )
     rows = [
         F.struct(
@@ -121,6 +121,10 @@ def completeness(
 def extraction_stats(df: DataFrame) -> DataFrame:
     """Statistics of an extract as (metric, column, value) rows, from one aggregate."""
     has = set(df.columns)
+
+    def value(column: str) -> Column:
+        return F.when(~_missing(F.col(column), df.schema[column].dataType), F.col(column))
+
     measures: list[tuple[str, str, Column]] = [
         ("total_records", "", F.count(F.lit(1))),
         ("columns", "", F.lit(len(df.columns))),
@@ -128,14 +132,14 @@ def extraction_stats(df: DataFrame) -> DataFrame:
     if "school_state" in has:
         measures.append(("states_covered", "school_state", F.countDistinct("school_state")))
     if "student_size" in has:
-        measures.append(("total_students", "student_size", F.sum("student_size")))
-        measures.append(("avg_student_size", "student_size", F.avg("student_size")))
+        measures.append(("total_students", "student_size", F.sum(value("student_size"))))
+        measures.append(("avg_student_size", "student_size", F.avg(value("student_size"))))
     for metric, column in (
         ("avg_admission_rate", "admission_rate_overall"),
         ("avg_completion_rate", "completion_rate_overall"),
     ):
         if column in has:
-            measures.append((metric, column, F.avg(column)))
+            measures.append((metric, column, F.avg(value(column))))
     for field in df.schema.fields:
         missing = F.count_if(_missing(quoted(field.name), field.dataType))
         filled = _percent(F.count(F.lit(1)) - missing, F.count(F.lit(1)))
@@ -491,15 +495,18 @@ def report_summary(report: DataFrame) -> DataFrame:
 def class_shares(df: DataFrame, column: str = "size_category") -> DataFrame:
     """Rows and share of every class, null included."""
     counts = df.groupBy(quoted(column)).agg(F.count(F.lit(1)).alias("rows"))
-    whole = F.sum("rows").over(Window.partitionBy())
-    return counts.withColumn("percent", F.round(F.col("rows") * 100.0 / whole, 6))
+    whole = df.agg(F.count(F.lit(1)).alias("_whole"))
+    shared = counts.join(F.broadcast(whole))  # one row
+    return shared.select(
+        quoted(column), "rows", F.round(F.col("rows") * 100.0 / F.col("_whole"), 6).alias("percent")
+    )
 
 
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Minimum, maximum, mean and number of the values that are not null."""
+    """Minimum, maximum, mean and number of the values that are neither null nor NaN."""
     wide = df.agg(
         *[
-            f(F.col(c)).alias(f"_{name}_{i}")
+            f(F.when(~_missing(F.col(c), df.schema[c].dataType), F.col(c))).alias(f"_{name}_{i}")
             for i, c in enumerate(columns)
             for name, f in (("count", F.count), ("min", F.min), ("max", F.max), ("avg", F.avg))
         ]

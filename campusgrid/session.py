@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,12 +32,12 @@ def session(app_name: str = "campusgrid", **settings: str) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder every executor can reach.
 
-    It lies below `spark.checkpoint.dir`. Without that setting only a local
-    master gets a folder of its own machine.
+    It lies below `spark.checkpoint.dir`. Without that setting only a local master
+    gets one, below the warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return os.path.join(shared, f"campusgrid-{uuid.uuid4().hex}")

@@ -53,9 +53,9 @@ def row_filter(
     """All given conditions joined by and. A size limit of 0 or None means no limit."""
     given = {"state": state, "ownership": ownership, "degree": degree}
     conditions = [
-        quoted(FILTER_FIELDS[name]) == value for name, value in given.items() if value
+        quoted(FILTER_FIELDS[name]) == value for name, value in given.items() if value is not None
     ]
-    if min_size:
+    if min_size is not None and min_size > 0:
         conditions.append(quoted(SIZE_FIELD) >= min_size)
     if operating:
         conditions.append(quoted(OPERATING_FIELD) == 1)

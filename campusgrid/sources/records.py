@@ -47,13 +47,15 @@ def page_records(pages: DataFrame, column: str, schema: T.StructType = PAGE) ->
     """Records of pages held as JSON text.
 
     `results: null` and `results: []` give no rows; a page without the key, or
-    that is no JSON object, fails the job, so that a broken page is not taken
-    for the end of the data.
+    that is no JSON object, fails the job, and so does a record or a `results` of
+    another shape, so that a broken page is not taken for the end of the data.
     """
     text = F.col(column)
+    # Only the results are parsed, strictly: a broken record fails the job, odd metadata does not.
+    wanted = T.StructType([schema["results"]])
     results = F.when(
         F.array_contains(F.json_object_keys(text), "results"),
-        F.from_json(text, schema)["results"],
+        F.from_json(text, wanted, {"mode": "FAILFAST"})["results"],
     ).otherwise(F.raise_error(F.concat(F.lit("page without results: "), F.left(text, F.lit(200)))))
     return pages.select(F.explode(results).alias("record")).select("record.*")
 

@@ -109,14 +109,12 @@ def load_table(
 
 
 def for_database(df: DataFrame) -> DataFrame:
-    """Types every database takes: stamps and dates as text, whole numbers as double, NaN as null."""
+    """Types every database takes: stamps and dates as text, NaN as null."""
     out = []
     for field in df.schema.fields:
         col = quoted(field.name)
         if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
             col = col.cast("string")
-        elif isinstance(field.dataType, T.IntegralType):
-            col = col.cast("double")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             col = F.when(~F.isnan(col), col)
         out.append(col.alias(field.name))

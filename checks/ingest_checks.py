@@ -355,7 +355,7 @@ def _(spark, sf_dir):
 
 @check(
     "k5_for_database",
-    """SELECT CAST(o_orderkey AS DOUBLE) AS o_orderkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
+    """SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS o_orderdate,
       o_orderstatus, o_totalprice FROM orders""",
 )
 def _(spark, sf_dir):

@@ -137,3 +137,12 @@ def test_hot_key_is_spread(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(r["count"] for r in per_task) == 4000
     assert max(r["count"] for r in per_task) < 2500
+
+
+def test_repeated_key_fails_even_if_the_key_is_not_read(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "UNITID bigint, n string")
+    merged = J.merge_unique_surveys({"HD": one})
+    with pytest.raises(Exception, match="key repeats"):
+        merged.count()
+    with pytest.raises(Exception, match="key repeats"):
+        merged.select("HD_n").collect()

@@ -194,3 +194,15 @@ def test_distribution_and_range(spark):
 def test_unique_key(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "school_id int")
     assert [tuple(r) for r in Q.repeated_keys(df).collect()] == [(1, 2)]
+
+
+def test_nan_counts_as_missing_in_statistics(spark):
+    df = spark.createDataFrame(
+        [("a", 0.5), ("b", float("nan")), ("c", 0.7)], "school_state string, admission_rate_overall double"
+    )
+    stats = {(r["metric"], r["column"]): r["value"] for r in Q.extraction_stats(df).collect()}
+    assert round(stats["avg_admission_rate", "admission_rate_overall"], 6) == 0.6
+    filled = Q.completeness(df, ["admission_rate_overall"]).first()
+    assert filled["filled"] == 2
+    found = Q.value_range(df, ["admission_rate_overall"]).first()
+    assert (found["values"], found["max"], round(found["mean"], 6)) == (2, 0.7, 0.6)

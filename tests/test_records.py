@@ -233,3 +233,13 @@ def test_first_pages(spark):
     assert [r.id for r in P.first_pages(df, ["id"], pages=2, page_size=3).collect()] == list(range(6))
     assert P.first_pages(df, ["id"], pages=2, max_records=50).count() == 50
     assert P.first_pages(df, ["id"]).count() == 1000
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['{"results":[{"id":1},"oops",{"id":2}]}', '{"results":"oops"}', '{"results":{"error":"x"}}'],
+)
+def test_broken_records_fail_the_page(spark, page):
+    pages = spark.createDataFrame([(page,)], "value string")
+    with pytest.raises(Exception):
+        R.page_records(pages, "value").count()

@@ -138,14 +138,14 @@ def test_types_for_a_database(spark):
     )
     out = K.for_database(df)
     assert dict(out.dtypes) == {
-        "i": "double",
+        "i": "int",
         "t": "string",
         "d": "string",
         "n": "double",
         "s": "string",
-        "b": "double",
+        "b": "bigint",
     }
-    assert tuple(out.first()) == (1.0, "2024-01-02 03:04:05", "2024-01-02", None, "x", None)
+    assert tuple(out.first()) == (1, "2024-01-02 03:04:05", "2024-01-02", None, "x", None)
 
 
 def test_raw_json_keeps_nulls_and_is_not_replaced(spark, tmp_path):
