@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campusgrid.llm.common import written
+
 FEATURES = 192
 #: Width of the kernel over standardised statistics.
 WIDTH = 4.0
@@ -250,4 +252,4 @@ def train(docs: DataFrame, labels: DataFrame, fold: str = "fold", calibration_fo
     labelled = rows.join(known, F.col("doc_id") == F.col("_id")).select(
         "stats", "label", (F.col(fold) == calibration_fold).alias("calibrate")
     )
-    return fit(labelled)
+    return fit(written(labelled))  # read three times
