@@ -43,6 +43,9 @@ GATHERED = 3_000_000
 #: 64-bit words of a sketch, and orders in which the first round picks leaders.
 SKETCH_WORDS = 16
 LEADERS = 3
+#: Leaders a group is compared with in the first round: those it shares most shingles
+#: with. The second round compares all that is still apart.
+TRIED = 4
 
 _SALT = np.uint64(0x27D4EB2F165667C5)
 
@@ -275,16 +278,19 @@ def links(docs: DataFrame, known_sets: DataFrame, size: int = SHINGLE, percent:
 
     # Members with the head of their group; groups with leaders of each of their shingles.
     pairs = members.join(heads, "grp").filter("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
-    for turn in range(LEADERS):
-        order = F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "n", "place")
-        led = grouped.select("*", F.min(order).over(Window.partitionBy("shingle")).alias("first"))
-        led = led.filter(F.col("grp") != F.col("first.grp"))
-        led = led.filter(_may_link(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"), percent))
-        between = led.select(F.col("first.grp").alias("ga"), F.col("grp").alias("gb")).distinct()
-        named = between.join(heads.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga").join(
-            heads.select(F.col("grp").alias("gb"), F.col("head").alias("b")), "gb"
-        )
-        pairs = pairs.union(named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    turns = [F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "n", "place") for turn in range(LEADERS)]
+    led = grouped.select("*", *[F.min(order).over(by_shingle).alias(f"first_{t}") for t, order in enumerate(turns)])
+    firsts = [F.struct(*[F.col(f"first_{t}.{c}").alias(c) for c in ("grp", "n", "place")]) for t in range(LEADERS)]
+    led = led.select("grp", "n", "place", F.explode(F.array_distinct(F.array(*firsts))).alias("first"))
+    led = led.filter(F.col("grp") != F.col("first.grp"))
+    led = led.filter(_may_link(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"), percent))
+    between = led.groupBy(F.col("first.grp").alias("ga"), F.col("grp").alias("gb")).agg(F.count("*").alias("common"))
+    nearest = F.row_number().over(Window.partitionBy("gb").orderBy(F.desc("common"), "ga"))
+    between = between.withColumn("nearest", nearest).filter(F.col("nearest") <= TRIED)
+    named = between.join(heads.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga").join(
+        heads.select(F.col("grp").alias("gb"), F.col("head").alias("b")), "gb"
+    )
+    pairs = pairs.union(named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     able = pairs.distinct().join(one, F.col("a") == F.col("set_id_a")).join(two, (F.col("b") == F.col("set_id_b")) & alike)
     found = written(verified(written(able.select("a", "b")), docs, size, percent))
     known = components(found)
