@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +25,9 @@ from pyspark.sql import types as T
 #: White space as Unicode defines it; the `\s` of the tokenizers' patterns.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Entries a task keeps of each cache; beyond that it starts anew. Results don't depend on it.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 60_000
+#: Bytes of text after which a task sends its results on.
+PORTION_BYTES = 4_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -208,13 +213,23 @@ OUTPUTS = {
 }
 _ARROW = {
     "n_tokens": pa.int64(),
-    "ids": pa.list_(pa.int32()),
     "decoded": pa.binary(),
     "ids_sha256": pa.string(),
     "decoded_sha256": pa.string(),
 }
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, some megabytes of text (its last column) at a time."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy())
+    begin = 0
+    while begin < batch.num_rows:
+        before = sizes[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + PORTION_BYTES, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def encode(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -239,24 +254,31 @@ def encode(
         if pattern not in made:
             made[pattern] = Coder(shared.value["ranks"], pattern)
         coder = made[pattern]
-        for batch in batches:
-            rows: dict[str, list] = {name: [] for name in outputs}
+        for batch in (part for whole in batches for part in _portions(whole)):
+            rows: dict[str, list] = {name: [] for name in outputs if name != "ids"}
+            ids, ends = array("i"), [0]
             for value in batch.column(batch.num_columns - 1):
                 content = value.as_py()
                 n, ids_text, decoded, parts = coder.coded(content) if content else (0, b"", b"", ())
+                if "ids" in outputs:
+                    for part in parts:
+                        ids.extend(part)
+                    ends.append(len(ids))
                 for name, column in rows.items():
                     if name == "n_tokens":
                         column.append(n)
-                    elif name == "ids":
-                        column.append([i for part in parts for i in part])
                     elif name == "decoded":
                         column.append(decoded)
                     else:
                         source = ids_text if name == "ids_sha256" else decoded
                         column.append(hashlib.sha256(source).hexdigest())
-            made_columns = [pa.array(rows[name], _ARROW[name]) for name in outputs]
+            made_columns = {name: pa.array(column, _ARROW[name]) for name, column in rows.items()}
+            if "ids" in outputs:
+                made_columns["ids"] = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32))
+                )
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(kept + made_columns, names=[*keep, *outputs])
+            yield pa.RecordBatch.from_arrays(kept + [made_columns[c] for c in outputs], names=[*keep, *outputs])
 
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
     schema = T.StructType(
