@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 
 #: White space as Unicode defines it; the `\s` of the tokenizers' patterns.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Entries a task keeps of each cache; beyond that it starts anew. Results don't depend on it.
-CACHE_ENTRIES = 60_000
+#: Entries of each generation of a task's caches, and of its pairs of tokens. Results don't
+#: depend on them.
+CACHE_ENTRIES = 300_000
+PAIR_ENTRIES = 400_000
 #: Bytes of text after which a task sends its results on.
 PORTION_BYTES = 4_000_000
 
@@ -84,7 +86,7 @@ class Vocabulary:
         """
         key = (left, right)
         if key not in self.known_pairs:
-            if len(self.known_pairs) > CACHE_ENTRIES:
+            if len(self.known_pairs) > PAIR_ENTRIES:
                 self.known_pairs.clear()
             self.known_pairs[key] = self._survives(left, right)
         return self.known_pairs[key]
@@ -119,17 +121,18 @@ class PrefixEncoder:
         start, self.data = len(self.data), self.data + data
         from_ = max(0, start - v.longest + 1)
         known, fits = v.known_pairs, v.fits
+        done = len(last)
         for at, (token, length) in v.finder().iter(self.data[from_:].decode("latin-1")):
-            end = from_ + at + 1
-            if end != len(last) + 1:
+            if from_ + at != done:
                 continue  # that prefix has its last token
-            before = end - length
+            before = done + 1 - length
             if before:
                 pair = (last[before - 1], token)
                 fit = known.get(pair)
                 if not (fits(*pair) if fit is None else fit):
                     continue
             last.append(token)
+            done += 1
         if len(last) != len(self.data):
             raise ValueError("the vocabulary lacks a byte of the text")
 
@@ -152,15 +155,21 @@ class PrefixEncoder:
 
 
 class _Cache(dict):
-    """Computes what is missing, and starts anew when full."""
+    """Computes what is missing. When full, it becomes the older generation, out of which
+    entries still in use come back, and the one before is dropped."""
 
     def __init__(self, make) -> None:
         self._make = make
+        self._older: dict = {}
 
     def __missing__(self, key):
+        value = self._older.get(key, self)  # any value but the cache itself, None too
+        if value is self:
+            value = self._make(key)
         if len(self) >= CACHE_ENTRIES:
+            self._older = dict(self)
             self.clear()
-        value = self[key] = self._make(key)
+        self[key] = value
         return value
 
 
@@ -174,10 +183,15 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
-        self._pieces = _Cache(lambda piece: PrefixEncoder(self.vocabulary, piece.encode()).ids())
+        self._pieces = _Cache(self._piece)
         self._heads = _Cache(self._word)
         self._tails = _Cache(lambda word: self._word(word, " "))
 
+    def _piece(self, piece: str) -> list[int]:
+        data = piece.encode()
+        own = self.vocabulary.ranks.get(data)
+        return PrefixEncoder(self.vocabulary, data).ids() if own is None else [own]
+
     def ids(self, text: str) -> list[int]:
         return [i for piece in self.pattern.findall(text) for i in self._pieces[piece]]
 
@@ -185,19 +199,22 @@ class Coder:
         tokens = self.vocabulary.tokens
         return b"".join([tokens[i] for i in ids])
 
-    def _record(self, ids: list[int]) -> tuple[int, bytes, bytes, list[int]]:
-        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids), ids
+    def _record(self, ids: list[int]) -> tuple[int, bytes, bytes, bytes]:
+        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids), array("i", ids).tobytes()
 
     def _word(self, word: str, blank: str = ""):
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        return self._record(self.ids(blank + word))
-
-    def coded(self, text: str) -> tuple[int, bytes, bytes, list[list[int]]]:
-        """Number of ids, ids as decimal text, the bytes they decode to, ids in parts."""
-        head, *rest = text.split(" ")
-        tails = self._tails
-        records = [self._heads[head], *[tails[word] for word in rest]]
+        pieces = self.pattern.findall(blank + word)
+        # A word of one piece is remembered as a word already.
+        return self._record(self._piece(pieces[0]) if len(pieces) == 1 else self.ids(blank + word))
+
+    def coded(self, text: str) -> tuple[int, bytes, bytes, tuple[bytes, ...]]:
+        """Number of ids, ids as decimal text, the bytes they decode to, ids as 32-bit
+        numbers in parts."""
+        words = text.split(" ")
+        records = [self._heads[words[0]]]
+        records += map(self._tails.__getitem__, words[1:])
         if None in records:
             records = [self._record(self.ids(text))]
         counts, texts, decoded, ids = zip(*records)
@@ -261,8 +278,7 @@ def encode(
                 content = value.as_py()
                 n, ids_text, decoded, parts = coder.coded(content) if content else (0, b"", b"", ())
                 if "ids" in outputs:
-                    for part in parts:
-                        ids.extend(part)
+                    ids.frombytes(b"".join(parts))
                     ends.append(len(ids))
                 for name, column in rows.items():
                     if name == "n_tokens":
