@@ -19,9 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campusgrid.llm.common import written
+
 #: Labelled documents to learn from, in expectation; chosen by a hash of text and language.
 SAMPLE_DOCUMENTS = 20_000
-#: Words, and n-grams of each length, kept per language; and languages.
+#: Words, and n-grams of each length, kept per language at most; and languages. Entries of
+#: equal count are kept together or not at all.
 WORDS_KEPT = 20_000
 GRAMS_KEPT = 5_000
 LANGUAGES_KEPT = 200
@@ -37,6 +40,18 @@ def _grams(word: str, size: int) -> list[str]:
     return [marked[i : i + size] for i in range(len(marked) - size + 1)]
 
 
+def _most_frequent(counted: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """The rows whose count `n` is so high that no more than `most` rows per key reach it.
+
+    The window runs over the distinct counts of a key, not over its rows.
+    """
+    kinds = counted.groupBy(*keys, "n").agg(F.count("*").alias("rows"))
+    down = Window.partitionBy(*keys).orderBy(F.desc("n"))
+    fits = kinds.withColumn("reached", F.sum("rows").over(down)).filter(F.col("reached") <= most)
+    least = fits.groupBy(*keys).agg(F.min("n").alias("least"))
+    return counted.join(F.broadcast(least), keys).filter(F.col("n") >= F.col("least")).drop("least")
+
+
 def train(labelled: DataFrame) -> dict:
     """The model from (text, lang); null texts or languages don't count.
 
@@ -67,7 +82,7 @@ def train(labelled: DataFrame) -> dict:
         if found:
             yield out(found)
 
-    words = (
+    words = written(
         sample.mapInArrow(count, "lang string, word string, n bigint")
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
@@ -75,8 +90,7 @@ def train(labelled: DataFrame) -> dict:
     sums = words.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES_KEPT)
     langs = {row["lang"]: row["n"] for row in sums.collect()}
     words = words.filter(F.col("lang").isin(list(langs)))
-    keep = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    known = words.withColumn("r", F.row_number().over(keep)).filter(F.col("r") <= WORDS_KEPT).collect()
+    known = _most_frequent(words, ["lang"], WORDS_KEPT).collect()
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,17 +105,14 @@ def train(labelled: DataFrame) -> dict:
                 names=["lang", "size", "gram", "n"],
             )
 
-    grams = (
+    grams = written(
         words.mapInArrow(spell, "lang string, size int, gram string, n bigint")
         .groupBy("lang", "size", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    both = Window.partitionBy("lang", "size")
-    best = (
-        grams.select("*", F.sum("n").over(both).alias("total"), F.row_number().over(both.orderBy(F.desc("n"), "gram")).alias("r"))
-        .filter(F.col("r") <= GRAMS_KEPT)
-        .collect()
-    )
+    both = ["lang", "size"]
+    totals = grams.groupBy(*both).agg(F.sum("n").alias("total"))
+    best = _most_frequent(grams, both, GRAMS_KEPT).join(F.broadcast(totals), both).collect()
     return _model(langs, known, best)
 
 
