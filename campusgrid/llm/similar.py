@@ -334,8 +334,17 @@ def links(docs: DataFrame, known_sets: DataFrame, size: int = SHINGLE, percent:
     rest = written(expanded.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct())
     if rest.isEmpty():
         return known
+    # A few links between two components do: only one of each pair of labels is kept.
+    label = labelled.select("set_id", "label")
     more = verified(rest, docs, size, percent)
-    return components(found.unionByName(more))
+    more = more.join(label.toDF("a", "label_a"), "a").join(label.toDF("b", "label_b"), "b")
+    bridges = more.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct()
+    joined = components(bridges).select(F.col("node").alias("label"), "component")
+    return written(
+        labelled.select("set_id", "label")
+        .join(joined, "label", "left")
+        .select(F.col("set_id").alias("node"), F.coalesce("component", "label").alias("component"))
+    )
 
 
 def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
