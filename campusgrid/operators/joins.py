@@ -42,21 +42,36 @@ def _with_missing_keys(df: DataFrame, i: int, counts: DataFrame, key: str) -> Da
 def _salted(df: DataFrame, i: int, hot: DataFrame, key: str) -> DataFrame:
     """Spread hot keys: the survey with most rows of a key deals them out, others repeat theirs.
 
-    The share a row goes to follows from its content, so that a task that runs
-    again deals alike.
+    Equal rows of a hot key collapse to one with its number of `_copies`, which are dealt
+    over the shares in turn, from a share that follows from the content; so a task that
+    runs again deals alike. Rows with maps cannot be grouped: there the content alone
+    names the share. Without hot keys, Spark drops the branch that deals at run time.
     """
-    content = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    dealt = F.pmod(F.xxhash64(*[quoted(c) for c in content]), F.col("_parts")).cast("int")
-    salts = (
-        F.when(F.col("_parts").isNull(), F.array(F.lit(0)))
-        .when(F.col("_largest") == i, F.array(dealt))
-        .otherwise(F.sequence(F.lit(0), F.col("_parts") - 1))
+    own = F.coalesce(F.col("_largest") == i, F.lit(False))
+    shares = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.col("_parts") - 1)
     )
-    return (
+    repeated = (
         df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .withColumn("_salt", F.explode(salts))
-        .drop("_hot", "_parts", "_largest")
+        .filter(~own)
+        .select(*map(quoted, df.columns), F.explode(shares).alias("_salt"))
+        .withColumn("_copies", F.lit(1).cast("bigint"))
+    )
+    rows = df.join(F.broadcast(hot.filter(own)), F.col(key).eqNullSafe(F.col("_hot")))
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    if len(plain) == len(df.columns):
+        rows = rows.groupBy(*map(quoted, df.columns), "_parts").agg(F.count("*").alias("_n"))
+    else:
+        rows = rows.withColumn("_n", F.lit(1).cast("bigint"))
+    turns = F.sequence(F.lit(0), F.least(F.col("_n"), F.col("_parts")).cast("int") - 1)
+    start = F.xxhash64(*map(quoted, plain))
+    copies = F.floor((F.col("_n") + F.col("_parts") - 1 - F.col("_turn")) / F.col("_parts"))
+    dealt = rows.withColumn("_turn", F.explode(turns)).select(
+        *map(quoted, df.columns),
+        F.pmod(F.pmod(start, F.col("_parts")) + F.col("_turn"), F.col("_parts")).cast("int").alias("_salt"),
+        copies.cast("bigint").alias("_copies"),
     )
+    return repeated.union(dealt)
 
 
 def merge_surveys(
@@ -98,10 +113,13 @@ def merge_surveys(
         if merged is None:
             merged = right
             continue
-        right = right.withColumnsRenamed({key: "_key", "_salt": "_share"})
+        right = right.withColumnsRenamed({key: "_key", "_salt": "_share", "_copies": "_times"})
         same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_share"))
-        merged = merged.join(right, same).drop("_key", "_share")
-    return merged.drop("_salt")
+        merged = merged.join(right, same).withColumn("_copies", F.col("_copies") * F.col("_times"))
+        merged = merged.drop("_key", "_share", "_times")
+    # Only the survey that deals a key has copies, at most about `split_rows` per share.
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    return merged.withColumn("_copy", copy).drop("_salt", "_copies", "_copy")
 
 
 def merge_unique_surveys(
@@ -156,11 +174,24 @@ def count_related(
 
 
 def add_related_count(
-    rows: DataFrame, related: DataFrame, on: str, name: str = "related"
+    rows: DataFrame, related: DataFrame, on: str, name: str = "related", split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
-    """Each row with the number of `related` rows of its id, 0 when there is none."""
-    counts = related.groupBy(quoted(on)).agg(F.count(F.lit(1)).alias(name))
-    return rows.join(counts, on, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
+    """Each row with the number of `related` rows of its id, 0 when there is none.
+
+    Rows of null ids stay out of the join. Ids with more than `split_rows` rows stay where
+    they are: their counts, at most one per `split_rows` rows, are broadcast.
+    """
+    given, own = rows.filter(quoted(on).isNotNull()), [c for c in rows.columns if c != on]
+    counts = related.groupBy(quoted(on).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    hot = given.groupBy(quoted(on).alias("_hot")).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot.filter(F.col("_rows") > split_rows).select("_hot")
+    hot_counts = hot.join(counts, F.col("_hot") == F.col("_id"), "left").select("_hot", "_n")
+    none = rows.filter(quoted(on).isNull()).withColumn("_n", F.lit(None).cast("bigint"))
+    large = given.join(F.broadcast(hot_counts), quoted(on) == F.col("_hot"))
+    small = given.join(F.broadcast(hot), quoted(on) == F.col("_hot"), "left_anti")
+    small = small.join(counts, quoted(on) == F.col("_id"), "left")
+    columns = [*map(quoted, [on, *own]), F.coalesce("_n", F.lit(0)).alias(name)]
+    return reduce(DataFrame.union, [part.select(*columns) for part in (small, large, none)])
 
 
 def code_table(spark: SparkSession, labels: Mapping[int, str]) -> DataFrame:

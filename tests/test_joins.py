@@ -139,6 +139,50 @@ def test_hot_key_is_spread(spark):
     assert max(r["count"] for r in per_task) < 2500
 
 
+def per_task(spark, frame):
+    """Rows per task, without broadcasts or plans changed at run time."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return [r["count"] for r in frame().groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """Three distinct rows, 4000 copies: all come back, from several tasks."""
+    big = spark.range(4000).selectExpr("if(id < 2800, 7, id) AS UNITID", "id % 3 AS V")
+    small = spark.createDataFrame([(7, "x"), (7, "y")], "UNITID bigint, W string")
+    found = per_task(spark, lambda: J.merge_surveys({"A": big, "B": small}, split_rows=100))
+    assert sum(found) == 2 * 2800 + 1200
+    assert max(found) < sum(found) / 2
+    out = J.merge_surveys({"A": big, "B": small}, split_rows=100).filter("UNITID = 7")
+    got = {(r["A_V"], r["B_W"]): r["count"] for r in out.groupBy("A_V", "B_W").count().collect()}
+    want = {0: 934, 1: 933, 2: 933}
+    assert got == {(v, w): n for v, n in want.items() for w in "xy"}
+
+
+def test_maps_in_a_hot_key(spark):
+    big = spark.range(300).selectExpr("7 AS UNITID", "map('a', id) AS M")
+    small = spark.createDataFrame([(7, "x")], "UNITID int, W string")
+    out = J.merge_surveys({"A": big, "B": small}, split_rows=100)
+    assert out.selectExpr("A_M['a'] AS a").distinct().count() == out.count() == 300
+
+
+def test_rows_of_a_hot_id_stay_in_their_tasks(spark):
+    rows = spark.range(0, 4000, 1, 8).selectExpr(
+        "if(id % 10 < 7, 'hot', if(id % 10 < 9, string(id), NULL)) AS i", "id % 3 AS v"
+    )
+    related = spark.createDataFrame([("hot",), ("hot",), ("8",), (None,)], "i string")
+    found = per_task(spark, lambda: J.add_related_count(rows, related, "i", "n", split_rows=100))
+    assert sum(found) == 4000
+    assert max(found) < 800
+    out = J.add_related_count(rows, related, "i", "n", split_rows=100)
+    got = {r["n"]: r["count"] for r in out.groupBy("n").count().collect()}
+    assert got == {2: 2800, 1: 1, 0: 1199}
+
+
 def test_repeated_key_fails_even_if_the_key_is_not_read(spark):
     one = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "UNITID bigint, n string")
     merged = J.merge_unique_surveys({"HD": one})
