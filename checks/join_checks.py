@@ -60,6 +60,45 @@ def _(spark, sf_dir):
     )
 
 
+HOT_ORDERS = """SELECT CASE WHEN o_custkey % 3 = 0 THEN 1 ELSE o_custkey END AS UNITID,
+        o_orderstatus AS status FROM orders"""
+
+
+@check(
+    "j1_merge_hot_keys",
+    f"""SELECT UNITID, o.status AS OD_status, c.segment AS CU_segment FROM ({HOT_ORDERS}) o
+      FULL JOIN (SELECT c_custkey AS UNITID, c_mktsegment AS segment FROM customer) c USING (UNITID)""",
+)
+def _(spark, sf_dir):
+    """A third of the orders share one key, with three distinct rows."""
+    custkey = F.col("o_custkey")
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(custkey % 3 == 0, 1).otherwise(custkey).alias("UNITID"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("UNITID"), F.col("c_mktsegment").alias("segment")
+    )
+    return J.merge_surveys({"OD": orders, "CU": customer}, split_rows=1000)
+
+
+@check(
+    "j2_hot_ids",
+    """SELECT id, l_orderkey, l_linenumber, coalesce(n, 0) AS related
+      FROM (SELECT CASE WHEN l_suppkey % 3 = 0 THEN 1 WHEN l_suppkey % 7 <> 0 THEN l_suppkey END AS id,
+          l_orderkey, l_linenumber FROM lineitem)
+      LEFT JOIN (SELECT o_custkey AS id, count(*) AS n FROM orders GROUP BY ALL) USING (id)""",
+)
+def _(spark, sf_dir):
+    """A third of the rows share one id, others have none."""
+    suppkey = F.col("l_suppkey")
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.when(suppkey % 3 == 0, 1).when(suppkey % 7 != 0, suppkey).alias("id"), "l_orderkey", "l_linenumber"
+    )
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))
+    return J.add_related_count(rows, orders, "id", "related", split_rows=1000)
+
+
 @check(
     "j2_related_counts",
     sales("""SELECT "Row ID", "Instruction ID", "Revenue", coalesce(n, 0) AS reimbursements
