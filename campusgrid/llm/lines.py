@@ -4,7 +4,8 @@ Each line goes down a tree of fixed depth: by its number of tokens, then by its
 leading tokens, where a token with a digit is a variable field. The lines in a leaf
 form one template if most positions hold one and the same token; the others are
 variable fields too. A leaf that is too mixed keeps its lines apart. Templates that
-recur across documents are dropped.
+recur across documents are dropped. Exact copies of a text count as one document, so
+that copies alone don't make a text's own lines recur.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campusgrid.llm.common import written
+
 #: Leading tokens that the tree looks at.
 DEPTH = 4
 #: Documents a template must occur in.
 MIN_DOCUMENTS = 10
 #: Least share of constant positions in a template.
 SIMILARITY = 0.7
-#: A document with more than this share of recurring lines is a copy of another one as a
-#: whole. Lines are not its boilerplate, so it stays as it is.
+#: Only `drop_recurring_sql` still leaves documents with a larger share of recurring lines
+#: as they are. `drop_recurring` has no such limit.
 MAX_SHARE = 0.5
 
 FIELD = "<*>"
@@ -54,12 +57,12 @@ def _leaf(line: Column, depth: int) -> Column:
     return F.xxhash64(_tokens(line), F.substring_index(line, " ", depth))
 
 
-def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """Fingerprints (`line`) of the masked lines that a recurring template covers.
+def _candidates(docs: DataFrame, tree: Tree) -> DataFrame:
+    """(line, leaf, whole): fingerprints of the masked lines that recur if each copy of a
+    text counts, and whether their whole leaf is one template.
 
-    A template occurs once per document and distinct masked line. Blank lines have
-    none. Counts cover all documents; only fingerprints and counts are shuffled, summed
-    up before, and the tokens of lines whose leaf is a candidate.
+    Blank lines have none. Counts cover all documents; only fingerprints and counts are
+    shuffled, summed up before, and the tokens of lines whose leaf is a candidate.
     """
     folded = docs.select(F.transform(lines_of(F.col("text")), masked).alias("lines"))
     each = folded.select(F.explode(F.array_distinct("lines")).alias("masked")).filter("masked <> ''")
@@ -78,42 +81,53 @@ def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
     )
     candidates = counted.join(leaves.select("leaf", "kinds"), "leaf").join(similar, "leaf", "left")
     whole = (F.col("kinds") == 1) | F.coalesce("similar", F.lit(False))
-    return candidates.filter(whole | (F.col("n") >= tree.min_documents)).select("line").distinct()
+    return candidates.filter(whole | (F.col("n") >= tree.min_documents)).select("line", "leaf", whole.alias("whole"))
 
 
-def drop_recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """All columns of all documents, `text` without lines of recurring templates, and
-    n_lines, n_dropped.
+def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+    """(_id, _key, line) per document: fingerprints of its id's text and of those of its
+    masked lines that a recurring template covers.
 
-    A document in which such lines are more than `max_share` of those that aren't
-    blank stays as it is. Null texts stay null with 0 lines. Rows with equal id and
-    text get the same result; null ids are like any other. An empty table gives an
-    empty one. Other columns are untouched, whatever their names, except for
-    `n_lines` and `n_dropped`, which are replaced.
+    A template occurs once per distinct text and masked line. Texts are counted over the
+    candidates' lines, since a count of texts is never above that of documents.
     """
-    recurring = recurring_lines(docs, tree)
     hashes = F.transform(lines_of(F.col("text")), lambda line: F.xxhash64(masked(line)))
-    blank = F.xxhash64(F.lit(""))
     exploded = docs.select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.explode(F.array_distinct(hashes)).alias("line")
     )
-    hit = exploded.join(recurring, "line").groupBy("_id", "_key").agg(F.collect_set("line").alias("_hit"))
+    found = written(exploded.join(_candidates(docs, tree), "line"))
+    texts = found.select("_key", "line", "leaf", "whole").distinct().groupBy("line", "leaf", "whole").agg(F.count("*").alias("n"))
+    totals = texts.filter("whole").groupBy("leaf").agg(F.sum("n").alias("leaf_n")).filter(F.col("leaf_n") >= tree.min_documents)
+    together = texts.filter("whole").join(totals, "leaf", "left_semi").select("line")
+    alone = texts.filter(~F.col("whole") & (F.col("n") >= tree.min_documents)).select("line")
+    return found.select("_id", "_key", "line").join(together.union(alone), "line", "left_semi")
+
+
+def drop_recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
+    """All columns of all documents, `text` without lines of recurring templates, and
+    n_lines, n_dropped.
+
+    All such lines go, also if they are all that a document has. Null texts stay null
+    with 0 lines. Rows with equal id and text get the same result; null ids are like any
+    other. An empty table gives an empty one. Other columns are untouched, whatever their
+    names, except for `n_lines` and `n_dropped`, which are replaced.
+    """
+    hit = recurring_lines(docs, tree).groupBy("_id", "_key").agg(F.collect_set("line").alias("_hit"))
     joined = docs.drop("n_lines", "n_dropped").join(
         hit, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left"
     )
     lines = lines_of(F.col("text"))
     clean = F.filter(lines, lambda line: ~F.array_contains("_hit", F.xxhash64(masked(line))))
-    written = F.size(F.filter(lines, lambda line: F.xxhash64(masked(line)) != blank))
     dropped = F.size(lines) - F.size(clean)
-    few = F.col("_hit").isNotNull() & (dropped <= tree.max_share * written)
+    some = F.col("_hit").isNotNull()
     return joined.select(
         *[
-            (F.when(few, F.array_join(clean, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`"))
+            (F.when(some, F.array_join(clean, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`"))
             for c in docs.columns
             if c not in ("n_lines", "n_dropped")
         ],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
-        F.when(few, dropped).otherwise(0).cast("bigint").alias("n_dropped"),
+        F.when(some, dropped).otherwise(0).cast("bigint").alias("n_dropped"),
     )
 
 

@@ -217,6 +217,14 @@ def test_lines_keep_copies_and_odd_texts(spark):
     assert all(r["n_dropped"] == 0 for r in copies)
 
 
+def test_lines_go_from_pages_that_are_mostly_boilerplate(spark):
+    shared = "log in here or there now\nread all of our many terms\nshare this page with your friends"
+    texts = [f"{shared}\nown {chr(97 + i) * 9}" for i in range(12)] + [shared] + ["all of this is one long copy\nand so is this other line"] * 12
+    out = lines.drop_recurring(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [r["text"] for r in out[:13]] == [f"own {chr(97 + i) * 9}" for i in range(12)] + [""]
+    assert [r["n_dropped"] for r in out] == [3] * 13 + [0] * 12
+
+
 def test_perspectives_of_odd_turns(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 1, "bob", None), (1, None, None, "<|im_end|>"), (2, 0, "system", "x"), (None, 0, "eve", "")]
     got = chat.rotate(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
