@@ -8,7 +8,8 @@ one by one. The coordinates of paths and edges in their documents then give the
 repeated spans, of any length.
 
 A path is known by 128 bits: the fingerprint of its m-gram and that of all its words.
-An edge has two fingerprints as well.
+An edge has two fingerprints as well. A text is known by its document and 64 bits of its
+own, so that rows of one id are told apart; rows with the same id and text are one.
 """
 
 from __future__ import annotations
@@ -31,14 +32,29 @@ _LAST = np.int64(2**63 - 1)
 _BASE = 0xC2B2AE3D27D4EB4F | 1
 _SALT = np.uint64(0x165667B19E3779F9)
 
-#: doc: id (null: the greatest); place: word index << 32 | digits of the text << 8 |
+#: doc: id (null: the greatest); mark: fingerprint of the text; place: word index << 32 |
 #: windows. Covered rows are known to repeat an earlier document.
-PATHS = "key bigint, content bigint, doc bigint, place bigint, covered boolean"
+PATHS = "key bigint, content bigint, doc bigint, mark bigint, place bigint, covered boolean"
 
 
 def _mark(text: Column) -> Column:
-    """Digits that tell apart texts of one id."""
-    return F.pmod(F.xxhash64(text), F.lit(1 << 24)).cast("bigint")
+    """Fingerprint that tells apart texts of one id."""
+    return F.xxhash64(text)
+
+
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Rows of sorted columns that differ from the row before."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
+
+
+def _firsts(doc: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Rows that hold a text of a document for the first time."""
+    order = np.lexsort((mark, doc))
+    first = np.zeros(len(doc), dtype=bool)
+    first[order] = _new(doc[order], mark[order])
+    return first
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,48 +102,51 @@ def paths(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The paths of all documents (doc, mark, text).
 
     Of equal paths in one batch only those of the smallest document are open; the others
-    are covered already. So a hot path costs a row per batch, not per copy.
+    are covered already, and a text that a document has several times gives its paths once.
+    So a hot path costs a row per batch, not per copy.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             mark = batch.column(1).to_numpy(zero_copy_only=False)
+            first = _firsts(doc, mark)
             found = []
             for begin, words in chunks(batch.column(2), False, BLANK_SEPARATED):
                 text, at, windows, key, content = _paths(words, size)
                 text = text + begin
-                place = (at << 32) | (mark[text] << 8) | windows
-                found.append((signed(key), signed(content), doc[text], place))
+                once = first[text]
+                text, place = text[once], ((at << 32) | windows)[once]
+                found.append((signed(key[once]), signed(content[once]), doc[text], mark[text], place))
             if not found:
                 continue
-            key, content, ids, place = (np.concatenate(c) for c in zip(*found))
+            key, content, ids, texts, place = (np.concatenate(c) for c in zip(*found))
             order = np.lexsort((ids, content, key))
-            key, content, ids, place = key[order], content[order], ids[order], place[order]
-            new = np.ones(len(key), dtype=bool)
-            new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-            least = ids[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            key, content, ids, texts, place = key[order], content[order], ids[order], texts[order], place[order]
+            least = ids[np.maximum.accumulate(np.where(_new(key, content), np.arange(len(key)), 0))]
             covered = ids > least
-            spread = signed(mixed(ids.view(np.uint64) * _SALT + place.view(np.uint64)))
-            columns = [np.where(covered, spread, key), content, ids, place, covered]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "content", "doc", "place", "covered"])
+            spread = signed(mixed(ids.view(np.uint64) * _SALT + texts.view(np.uint64) + place.view(np.uint64)))
+            columns = [np.where(covered, spread, key), content, ids, texts, place, covered]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "content", "doc", "mark", "place", "covered"])
 
     return docs.select("doc", "mark", "text").mapInArrow(run, PATHS)
 
 
 def _marks(found: DataFrame) -> DataFrame:
-    """Per document: places of covered paths, and of paths whose edges must be compared."""
+    """Per text of a document: places of covered paths, and of paths whose edges must be
+    compared, each once however often the document has the text."""
     path, group = Window.partitionBy("key", "content"), Window.partitionBy("key")
     judged = found.repartition("key").select(
         "doc",
+        "mark",
         "place",
         (F.col("covered") | (F.col("doc") > F.min("doc").over(path))).alias("repeated"),
         (F.min("content").over(group) < F.max("content").over(group)).alias("branches"),
     )
     known = judged.filter(F.col("repeated") | F.col("branches"))
-    return known.groupBy("doc", (F.shiftright("place", 8).bitwiseAND(F.lit((1 << 24) - 1))).alias("mark")).agg(
-        F.collect_list(F.when(F.col("repeated"), F.col("place"))).alias("covered"),
-        F.collect_list(F.when(~F.col("repeated"), F.col("place"))).alias("open"),
+    return known.groupBy("doc", "mark").agg(
+        F.collect_set(F.when(F.col("repeated"), F.col("place"))).alias("covered"),
+        F.collect_set(F.when(~F.col("repeated"), F.col("place"))).alias("open"),
     )
 
 
@@ -139,12 +158,13 @@ def _edges(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             mark = batch.column(1).to_numpy(zero_copy_only=False)
             wanted = batch.column(3).to_pylist()
+            first = _firsts(doc, mark)
             for begin, words in chunks(batch.column(2), False, BLANK_SEPARATED):
                 edge, _ = words.windows(size)
                 other = mixed(words.windows(size - 1)[0][: len(edge)] ^ _SALT)
                 for t in range(len(words.first) - 1):
                     places = np.array(wanted[begin + t], dtype=np.int64)
-                    if not len(places):
+                    if not first[begin + t] or not len(places):
                         continue
                     counts = places & 255
                     at = np.repeat((places >> 32) - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
@@ -159,7 +179,7 @@ def _edges(docs: DataFrame, marks: DataFrame, size: int) -> DataFrame:
     )
     same = Window.partitionBy("edge", "other")
     judged = edges.select("doc", "mark", "at", (F.col("doc") > F.min("doc").over(same)).alias("repeated"))
-    return judged.filter("repeated").groupBy("doc", "mark").agg(F.collect_list("at").alias("edges"))
+    return judged.filter("repeated").groupBy("doc", "mark").agg(F.collect_set("at").alias("edges"))
 
 
 def remove_repeats(docs: DataFrame, size: int = WINDOW, digests: bool = False) -> DataFrame:

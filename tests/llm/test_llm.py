@@ -76,6 +76,28 @@ def test_repeats_equal_a_plain_version(spark):
     assert [r["spans"] for r in spans.orderBy("doc_id").collect()] == [[], [[1, 26]]]
 
 
+def test_repeats_tell_apart_texts_of_one_id(spark):
+    shared = " ".join(f"w{i}" for i in range(13))
+    own = F.concat_ws(" ", *[F.concat(F.lit(f"v{k}x"), F.col("id").cast("string")) for k in range(13)])
+    ids = spark.range(20_000)
+    made = ids.select(F.concat(F.lit(shared + " x"), F.col("id").cast("string")).alias("text"))
+    made = made.unionByName(ids.select(own.alias("text"))).withColumn("digits", F.pmod(F.xxhash64("text"), F.lit(1 << 24)))
+    both = made.groupBy("digits").agg(F.collect_list("text").alias("t"), F.count_if(F.col("text").startswith("w0 ")).alias("n"))
+    alike = both.filter("n = 1 AND size(t) = 2").first()["t"]
+    out = repeats.remove_repeats(docs(spark, [shared, *alike], [1, 2, 2])).collect()
+    assert sorted(r["n_removed"] for r in out) == [0, 0, 13]
+
+
+def test_repeats_gather_a_text_of_one_id_once(spark):
+    shared = [f"w{i}" for i in range(40)]
+    later = [" ".join(["a", *shared[5:30], "b"])] * 30
+    df = docs(spark, [" ".join(shared), *later], [1, *[None] * 30]).repartition(7)
+    rows = df.select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), repeats._mark(F.col("text")).alias("mark"), "text")
+    marks = repeats._marks(repeats.paths(rows)).filter(F.col("doc") > 1).collect()
+    assert len(marks) == 1 and len(marks[0]["covered"]) + len(marks[0]["open"]) <= 15
+    assert [r["n_removed"] for r in repeats.remove_repeats(df).collect() if r["doc_id"] is None] == [25] * 30
+
+
 def plain_components(rows):
     sets = {}
     for i, text in rows:
