@@ -7,11 +7,13 @@ named users'. System turns stay system turns for everyone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campusgrid.llm.common import written
+
 START, END = "<|im_start|>", "<|im_end|>"
-#: Turn numbers in one part. A longer conversation is rendered in several rows, so that
+#: Turns in one part at most. A longer conversation is rendered in several rows, so that
 #: no task has to hold one of any length.
 PART_TURNS = 2048
 UNKNOWN = "unknown"
@@ -22,6 +24,53 @@ def _plain(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def _same(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    return left.join(right.select(F.col("conv_id").alias("_c")), F.col("conv_id").eqNullSafe(F.col("_c")), how)
+
+
+def _crowded(rows: DataFrame, part_turns: int) -> DataFrame:
+    """Conversations with a part of more than `part_turns` rows."""
+    counted = rows.groupBy("conv_id", "part").agg(F.count("*").alias("n"))
+    return written(counted.filter(F.col("n") > part_turns).select("conv_id").distinct())
+
+
+def _numbered(rows: DataFrame, part_turns: int) -> DataFrame:
+    """The distinct rows, with parts of `part_turns` rows counted in order.
+
+    Rows are sorted by ranges, so that one conversation is dealt over many tasks; the
+    counts per range, summed up, give the first number in each.
+    """
+    order = ("conv_id", "unnumbered", "turn", "role", "text")
+    marked = rows.withColumn("unnumbered", (F.col("part") == -1) & (F.col("turn") == 0)).drop("part")
+    ranged = marked.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(ranged.withColumn("at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("slot", F.shiftright("at", 33))
+    slots = placed.groupBy("conv_id", "unnumbered", "slot").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id", "unnumbered").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.select(
+        F.col("conv_id").alias("_c"),
+        F.col("unnumbered").alias("_u"),
+        F.col("slot").alias("_s"),
+        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+    )
+    own = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("unnumbered") == F.col("_u")) & (F.col("slot") == F.col("_s"))
+    part = F.floor((F.col("at") + F.col("shift")) / part_turns)
+    part = F.when(F.col("unnumbered"), -1 - part).otherwise(part).cast("bigint")
+    return placed.join(slots, own).select("conv_id", part.alias("part"), "turn", "role", "text")
+
+
+def _in_parts(rows: DataFrame, part_turns: int) -> DataFrame:
+    """The rows, with other parts where a conversation has too many rows in one."""
+    crowded = _crowded(rows, part_turns)
+    if crowded.isEmpty():
+        return rows
+    distinct = written(_same(rows, crowded, "left_semi").distinct())
+    crowded = _crowded(distinct, part_turns)
+    if crowded.isEmpty():
+        return rows
+    return _same(rows, crowded, "left_anti").unionByName(_numbered(_same(distinct, crowded, "left_semi"), part_turns))
+
+
 def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """One row per conversation, part and speaker: `text` rendered with the speaker as
     assistant, `trained`: code points from-to of the speaker's words and end markers,
@@ -32,6 +81,11 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     a part of their own (-1), rows without conv_id form one conversation. A
     conversation with system turns only has no speaker and no row. Other columns are
     ignored.
+
+    A part holds the turn numbers from part * `part_turns` on. Where that would be more
+    than `part_turns` rows (turn numbers repeat or are null), the parts of the whole
+    conversation hold `part_turns` rows each: 0, 1, 2... in order, then -1, -2, -3...
+    for turns without a number.
     """
     role = F.regexp_replace(_plain(F.coalesce("role", F.lit(UNKNOWN))), r"\s", "_")
     rows = turns.select(
@@ -41,6 +95,7 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
         role.alias("role"),
         _plain(F.col("text")).alias("text"),
     )
+    rows = _in_parts(rows, part_turns)
     parts = rows.groupBy("conv_id", "part").agg(
         F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns")
     )

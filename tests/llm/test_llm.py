@@ -258,6 +258,24 @@ def test_perspectives_of_odd_turns(spark):
     assert ann["text"][start:end] == "hi<|im_end|>" and ann["n_turns"] == 2
 
 
+def test_perspectives_of_a_conversation_with_few_turn_numbers(spark):
+    rows = [(None, i % 8, "ann" if i % 3 else "bob", f"t{i}") for i in range(1000)] * 2
+    rows += [(None, None, "ann", f"n{i}") for i in range(250)]
+    rows += [(2, 150, "eve", "x"), (2, None, "eve", "y")] + [(3, 1, "eve", "again")] * 300
+    made = chat.rotate(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5), 100)
+    got = made.collect()
+    assert max(r["n_turns"] for r in got) == 100
+    assert {(r["conv_id"], r["part"]) for r in got if r["conv_id"]} == {(2, 1), (2, -1), (3, 0)}
+    ann = {r["part"]: r for r in got if r["conv_id"] is None and r["speaker"] == "ann"}
+    assert sorted(ann) == [-3, -2, -1, *range(10)]
+    texts = [line for part in [*range(10), -1, -2, -3] for line in ann[part]["text"].split("\n")[1::2]]
+    want = sorted({(t is None, t or 0, who, text) for c, t, who, text in rows if c is None})
+    assert texts == [text + chat.END for *_, text in want]
+    for row in ann.values():
+        spans = [tuple(map(int, s.split("-"))) for s in row["trained"].split(",") if s]
+        assert len(spans) == row["n_trained"] and all(row["text"][:a].endswith("assistant\n") for a, _ in spans)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, name, monkeypatch):
     monkeypatch.setattr(compare, "QUERIES", QUERIES)
