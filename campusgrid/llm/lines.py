@@ -1,9 +1,10 @@
 """Line dedup with a log-template tree, in DataFrame operations only.
 
 Each line goes down a tree of fixed depth: by its number of tokens, then by its
-leading tokens, where a token with a digit is a variable field. The lines in a leaf
-form one template if most positions hold one and the same token; the others are
-variable fields too. A leaf that is too mixed keeps its lines apart. Templates that
+leading tokens, where a token with a digit is a variable field. A leaf has a template if
+at most positions one token covers most occurrences; the others are variable fields too.
+The lines that agree with it at most positions are of that template, other lines stay
+apart, as do all in a leaf that is too mixed. Templates that
 recur across documents are dropped. Exact copies of a text count as one document, so
 that copies alone don't make a text's own lines recur.
 """
@@ -23,6 +24,8 @@ DEPTH = 4
 MIN_DOCUMENTS = 10
 #: Least share of constant positions in a template.
 SIMILARITY = 0.7
+#: Least share of a leaf's occurrences that the token of a constant position covers.
+COVERED = 0.8
 #: Only `drop_recurring_sql` still leaves documents with a larger share of recurring lines
 #: as they are. `drop_recurring` has no such limit.
 MAX_SHARE = 0.5
@@ -36,6 +39,7 @@ class Tree:
     min_documents: int = MIN_DOCUMENTS
     similarity: float = SIMILARITY
     max_share: float = MAX_SHARE
+    covered: float = COVERED
 
 
 def lines_of(text: Column) -> Column:
@@ -59,7 +63,7 @@ def _leaf(line: Column, depth: int) -> Column:
 
 def _candidates(docs: DataFrame, tree: Tree) -> DataFrame:
     """(line, leaf, whole): fingerprints of the masked lines that recur if each copy of a
-    text counts, and whether their whole leaf is one template.
+    text counts, and whether they count together, as lines of their leaf's template.
 
     Blank lines have none. Counts cover all documents; only fingerprints and counts are
     shuffled, summed up before, and the tokens of lines whose leaf is a candidate.
@@ -71,16 +75,27 @@ def _candidates(docs: DataFrame, tree: Tree) -> DataFrame:
     leaves = counted.groupBy("leaf").agg(F.sum("n").alias("leaf_n"), F.count("*").alias("kinds"))
     leaves = leaves.filter(F.col("leaf_n") >= tree.min_documents)
     mixed = leaves.filter("kinds > 1").select("leaf")
-    tokens = keyed.join(mixed, "leaf").select("leaf", F.posexplode(F.split("masked", " ")))
-    places = tokens.groupBy("leaf", "pos").agg((F.min("col") == F.max("col")).alias("constant"))
-    similar = (
+    kinds = keyed.join(mixed, "leaf").groupBy("leaf", "line", "masked").agg(F.count("*").alias("n"))
+    tokens = kinds.select("leaf", "n", F.posexplode(F.split("masked", " ")))
+    tokens = tokens.groupBy("leaf", "pos", "col").agg(F.sum("n").alias("n"))
+    places = tokens.groupBy("leaf", "pos").agg(F.max(F.struct("n", "col")).alias("top"), F.sum("n").alias("n"))
+    constant = F.col("top.n") >= tree.covered * F.col("n")
+    templates = (
         places.groupBy("leaf")
-        .agg(F.avg(F.col("constant").cast("int")).alias("share"))
+        .agg(
+            F.avg(constant.cast("int")).alias("share"),
+            F.array_sort(F.collect_list(F.struct("pos", F.when(constant, F.col("top.col")).alias("token")))).alias("places"),
+        )
         .filter(F.col("share") >= tree.similarity)
-        .select("leaf", F.lit(True).alias("similar"))
     )
-    candidates = counted.join(leaves.select("leaf", "kinds"), "leaf").join(similar, "leaf", "left")
-    whole = (F.col("kinds") == 1) | F.coalesce("similar", F.lit(False))
+    agreeing = F.zip_with(F.split("masked", " "), F.col("places.token"), lambda own, token: own.eqNullSafe(token))
+    alike = (
+        kinds.join(templates, "leaf")
+        .filter(F.size(F.filter(agreeing, lambda same: same)) >= tree.similarity * F.size("places"))
+        .select("leaf", "line", F.lit(True).alias("alike"))
+    )
+    candidates = counted.join(leaves.select("leaf", "kinds"), "leaf").join(alike, ["leaf", "line"], "left")
+    whole = (F.col("kinds") == 1) | F.coalesce("alike", F.lit(False))
     return candidates.filter(whole | (F.col("n") >= tree.min_documents)).select("line", "leaf", whole.alias("whole"))
 
 

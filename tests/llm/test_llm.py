@@ -247,6 +247,14 @@ def test_lines_go_from_pages_that_are_mostly_boilerplate(spark):
     assert [r["n_dropped"] for r in out] == [3] * 13 + [0] * 12
 
 
+def test_lines_of_a_template_go_beside_a_foreign_line(spark):
+    foreign = "see the full list as one more such line was here"
+    texts = [f"own {chr(97 + i) * 9}\nsee the full list of all our {chr(97 + i) * 5} in the shop\nand {chr(98 + i) * 7}" for i in range(12)]
+    out = lines.drop_recurring(docs(spark, [*texts, f"first\n{foreign}\nlast"])).orderBy("doc_id").collect()
+    assert [r["n_dropped"] for r in out] == [1] * 12 + [0]
+    assert "see the" not in out[0]["text"] and foreign in out[12]["text"]
+
+
 def test_perspectives_of_odd_turns(spark):
     rows = [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 1, "bob", None), (1, None, None, "<|im_end|>"), (2, 0, "system", "x"), (None, 0, "eve", "")]
     got = chat.rotate(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
