@@ -11,7 +11,8 @@ then expanded to their members and those verified on the whole sets.
 Members that are linked already needn't be compared. So a first round compares each
 group, and each member, with a few leaders per shingle only; a second round compares
 what is still in different components.
-Before whole sets are read, a sketch rules out pairs that differ too much.
+Before whole sets are read, a sketch rules out pairs that differ too much. The result is
+the components that links form; not all links are found, so neither are they counted.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ PERCENT = 80
 #: Frequent shingles that stand last in the order; broadcast, 12 bytes each. Any order
 #: that all sets share gives the same links, a better one gives fewer candidates.
 FREQUENT = 200_000
-#: Sets that may be picked by a broadcast list of ids, 8 bytes each; more are joined.
-PICKED = 1_000_000
+#: Bits of the broadcast filter that leaves out most sets in no pair before the join.
+PICKED = 1 << 26
 #: Fingerprints a task remembers in order to send a set once.
 REMEMBERED = 100_000
 #: Shingles a task counts at a time.
@@ -207,16 +208,30 @@ def _sketches_allow(n: Column, sketch: Column, other_n: Column, other_sketch: Co
     return (100 + percent) * differ <= (100 - percent) * (n + other_n)
 
 
+def _filter_of(ids: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of `bits` bits, made in tasks, with two bits per id."""
+    places = F.explode(F.array(*[F.pmod(F.shiftright("id", by), F.lit(bits)) for by in (0, 32)]))
+    bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+    found = ids.select(places.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found = found.toArrow()
+    made = np.zeros(-(-bits // 64), dtype=np.int64)
+    made[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return made
+
+
+def _may_hold(made: np.ndarray, bits: int, one: int) -> bool:
+    places = (one % bits, (one >> 32) % bits)
+    return all(int(made[place // 64]) >> (place % 64) & 1 for place in places)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked: int = PICKED) -> DataFrame:
     """The pairs (a, b) of sets that link, judged on the whole sets.
 
-    Only sets in a pair are read out of the texts again: by a broadcast list of their
-    ids if it is short, else by a join.
+    Only sets in a pair are read out of the texts again, by a join. Before it, a filter
+    of `picked` bits, whatever the number of pairs, leaves out most others; 0: none.
     """
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    few = wanted.count() <= picked
-    ids = np.sort(wanted.toArrow().column(0).to_numpy().astype(np.int64)) if few else None
-    shared = docs.sparkSession.sparkContext.broadcast(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted, picked) if picked else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = shared.value, set()
@@ -227,7 +242,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
                     if not len(shingles):
                         continue
                     one = _identity(shingles)[0]
-                    if one in seen or (own is not None and not np.any(own[np.searchsorted(own, one) :][:1] == one)):
+                    if one in seen or (own is not None and not _may_hold(own, picked, one)):
                         continue
                     if len(seen) >= REMEMBERED:
                         seen.clear()
@@ -240,8 +255,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
                     )
 
     sets = docs.select("text").mapInArrow(run, "id bigint, shingles array<bigint>")
-    if not few:
-        sets = sets.join(wanted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left_semi")
+    sets = sets.join(wanted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left_semi")
     sets = written(sets.groupBy("id").agg(F.any_value("shingles").alias("shingles")))
     left = sets.select(F.col("id").alias("ida"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("idb"), F.col("shingles").alias("sb"))

@@ -146,6 +146,19 @@ def test_near_duplicates_by_the_join_beyond_the_broadcast(spark):
     assert similar.verified(own.union(pairs), df, 5, 80, picked=0).count() == 1
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 16])
+def test_near_duplicates_broadcast_no_ids(spark, monkeypatch, bits):
+    sent, context = [], type(spark.sparkContext)
+    real = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or real(self, value))
+    df = docs(spark, [f"a{i} b{i} c d e f{i}" for i in range(300)]).select("doc_id", "text")
+    ids = [r["set_id"] for r in similar.document_sets(df, 5).collect()]
+    for n in (3, 300):
+        pairs = spark.createDataFrame([(i, i) for i in ids[:n]], "a bigint, b bigint")
+        assert similar.verified(pairs, df, 5, 80, picked=bits).count() == n
+    assert [len(v) for v in sent] == [bits // 64] * 2
+
+
 @pytest.mark.parametrize("most", [500_000, 7])
 def test_contamination_equals_a_plain_version(spark, most):
     item = " ".join(f"i{k}" for k in range(14))
