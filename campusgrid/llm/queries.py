@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repeats, similar, spotsigs
+from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repair, repeats, rules, similar, spotsigs, trie
 from campusgrid.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,20 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
     )
+
+
+@_query("op11_prefix_trie", trie.TRIE_SQL)
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.rebuilt(table(spark, sf_dir, "conversations"))).drop("node")
+
+
+@_query("op12_structure_repair")
+def structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), "report")
+
+
+@_query("op13_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    trusted = labels.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
+    return rules.judge(docs, rules.train(docs, trusted))
