@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,18 +156,19 @@ def merge_unique_surveys(
 
 
 def count_related(
-    rows: DataFrame, related: DataFrame, on: str, by: list[str], name: str = "related"
+    rows: DataFrame, related: DataFrame, on: str, by: list[str], name: str = "related", split_rows: int = SPLIT_ROWS
 ) -> DataFrame:
     """Rows of `related` that belong to each group of `rows`, each counted once per group.
 
     Both sides are collapsed before they meet: `related` to a count per id,
     `rows` to the distinct (id, group) pairs. So neither repeated ids nor many
-    rows per id multiply, and a hot id is one row by then.
+    rows per id multiply. An id with very many groups is dealt over tasks. Null ids have no
+    related rows.
     """
-    counts = related.groupBy(quoted(on)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = related.filter(quoted(on).isNotNull()).groupBy(quoted(on)).agg(F.count(F.lit(1)).alias("_n"))
     pairs = rows.select(quoted(on), *[quoted(c) for c in by]).distinct()
     return (
-        pairs.join(counts, on, "left")
+        skew_join(pairs, counts, [on], "left", split_rows)
         .groupBy(*[quoted(c) for c in by])
         .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name))
     )
@@ -194,6 +195,40 @@ def add_related_count(
     return reduce(DataFrame.union, [part.select(*columns) for part in (small, large, none)])
 
 
+def skew_join(
+    rows: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", split_rows: int = SPLIT_ROWS
+) -> DataFrame:
+    """`rows` with the columns of `small`, which has one row per key, where the keys are equal
+    (null keys too).
+
+    The rows per key are counted first, combined before the shuffle. A key with more than
+    `split_rows` rows is dealt over as many shares as that takes, by the content of its
+    rows, so that a task that runs again deals alike; `small` repeats its row of that key
+    once per share. Adaptive execution can't do this where the rows come out of an
+    aggregate, or where a key stays below its size limits. The broadcast list of such
+    keys has at most one entry per `split_rows` rows.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join: {how}")
+    keys = list(keys)
+    counts = rows.groupBy(*[quoted(k).alias(f"_h{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.filter(F.col("_rows") > split_rows)
+    parts = F.ceil(F.col("_rows") / split_rows).cast("int").alias("_parts")
+    hot = F.broadcast(hot.select(*[f"_h{i}" for i in range(len(keys))], parts))
+    is_hot = reduce(Column.__and__, [quoted(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
+    plain = [quoted(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    share = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*plain), F.col("_parts"))).cast("int")
+    dealt = rows.join(hot, is_hot, "left").select(*map(quoted, rows.columns), share.alias("_share"))
+    added = [c for c in small.columns if c not in keys]
+    shares = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_parts") - 1))
+    replicas = small.join(hot, is_hot, "left").select(
+        *[quoted(k).alias(f"_k{i}") for i, k in enumerate(keys)], *map(quoted, added), F.explode(shares).alias("_replica")
+    )
+    same = reduce(Column.__and__, [quoted(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    joined = dealt.join(replicas, same & (F.col("_share") == F.col("_replica")), how)
+    return joined.select(*map(quoted, rows.columns), *map(quoted, added))
+
+
 def code_table(spark: SparkSession, labels: Mapping[int, str]) -> DataFrame:
     """A code dictionary as a table (code, label)."""
     return spark.createDataFrame(sorted(labels.items()), "code int, label string")

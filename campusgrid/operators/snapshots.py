@@ -1,27 +1,34 @@
 """Immutable dataset versions with a catalogue.
 
-Data lies at `{root}/{source}/{dataset}/version=YYYYMMDD_HHMMSS/`, the
-catalogue at `{root}/_catalogue`, one row per version. Catalogue questions are
-functions over the catalogue DataFrame, so they work on any table of that form.
+Data lies at `{root}/{source}/{dataset}/_data/{version}-{unique}`, a folder that no reader
+of the dataset's own folder sees. A commit to the log at `{root}/_catalogue` makes it a
+version: one rename publishes the data and its catalogue row together. Catalogue
+questions are functions over the catalogue DataFrame, so they work on any table of that form.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from campusgrid.functions.text import quoted
+from campusgrid.operators.commits import CommitLog, first_free
+from campusgrid.operators.joins import skew_join
 from campusgrid.schema import CATALOGUE
-from campusgrid.sources.sinks import CSV_OPTIONS, stamp
+from campusgrid.sources import codec
+from campusgrid.sources.sinks import stamp
 
 DATASET = ("source", "dataset")
 KEEP_VERSIONS = 10
 KEEP_DAYS = 90
-CATALOGUE_VERSIONS = 100
 STAMP = "%Y%m%d_%H%M%S"
+#: Lengths of a version's beginning by which versions are counted: days, hours, minutes, seconds.
+STAMP_PARTS = (8, 11, 13, 15)
 FORMATS = ("parquet", "csv")
 
 
@@ -73,34 +80,49 @@ def metadata(
     return rows.filter(F.col("version") == version) if version else latest_versions(rows)
 
 
-def newest(catalogue: DataFrame, n: int = CATALOGUE_VERSIONS) -> DataFrame:
-    """The newest n versions of each dataset.
+def nth_newest(catalogue: DataFrame, n: int) -> DataFrame:
+    """(source, dataset, _cut): the n-th newest version of each dataset, or '' where it has
+    fewer.
 
-    `row_number() <= n` also runs before the shuffle, so a dataset with a third
-    of all versions sends n rows per task.
+    Versions are counted by day first; the day with the n-th newest one is looked into by
+    hour, and so on. Counts combine before the shuffle, and a task sorts the days, hours,
+    minutes or seconds of a dataset, never its versions: only those of one second.
     """
-    by_age = Window.partitionBy(*DATASET).orderBy(F.col("version").desc())
-    return (
-        catalogue.withColumn("_age", F.row_number().over(by_age))
-        .filter(F.col("_age") <= n)
-        .drop("_age")
-    )
+    if n < 1:
+        raise ValueError("n must be 1 or more")
+    rows = catalogue.select(*DATASET, "version")
+    inside, known = rows.withColumn("_left", F.lit(n).cast("bigint")), None
+    newer = Window.partitionBy(*DATASET).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    for length in (*STAMP_PARTS, None):
+        part = F.substring("version", 1, length) if length else F.col("version")
+        if known is not None:
+            inside = rows.join(known, [*same, F.substring("version", 1, before) == F.col("_cut")])
+        counts = inside.groupBy(*DATASET, part.alias("_part"), "_left").agg(F.count(F.lit(1)).alias("_n"))
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
+        hit = counts.filter((F.col("_before") < F.col("_left")) & (F.col("_left") <= F.col("_before") + F.col("_n")))
+        known = hit.select(
+            *[F.col(c).alias(f"_{c}") for c in DATASET],
+            F.col("_part").alias("_cut"),
+            (F.col("_left") - F.col("_before")).alias("_left"),
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DATASET]
+        before = length
+    every = rows.select(*DATASET).distinct().join(known, same, "left")
+    return every.select(*DATASET, F.coalesce("_cut", F.lit("")).alias("_cut"))
+
+
+def newest(catalogue: DataFrame, n: int) -> DataFrame:
+    """The newest n versions of each dataset; versions of a dataset are unique."""
+    return skew_join(catalogue, nth_newest(catalogue, n), DATASET).filter(F.col("version") >= F.col("_cut")).drop("_cut")
 
 
 def expired_by_count(catalogue: DataFrame, keep: int = KEEP_VERSIONS) -> DataFrame:
     """Versions behind the newest `keep` of their dataset.
 
-    The oldest kept version of each dataset is the cut; older ones are expired.
-    Numbering all versions of a dataset in one task is not needed for that.
+    The oldest kept version of each dataset is the cut; older ones are expired. The
+    cuts are few rows, the versions of one dataset may be many: those are dealt over tasks.
     """
-    cuts = newest(catalogue.select(*DATASET, "version"), keep).groupBy(*DATASET).agg(
-        F.min("version").alias("_cut")
-    )
-    return (
-        catalogue.join(cuts, list(DATASET))
-        .filter(F.col("version") < F.col("_cut"))
-        .drop("_cut")
-    )
+    return skew_join(catalogue, nth_newest(catalogue, keep), DATASET).filter(F.col("version") < F.col("_cut")).drop("_cut")
 
 
 def expired_by_age(
@@ -147,9 +169,34 @@ def layer_report(spark: SparkSession, layers: Mapping[str, DataFrame]) -> DataFr
 
 # --- the store -------------------------------------------------------------
 
+#: What the log holds beside the catalogue's columns: where the data lies below the root,
+#: and a fingerprint of its rows, if asked for.
+ENTRY = T.StructType([*CATALOGUE.fields, T.StructField("location", T.StringType()), T.StructField("content", T.StringType())])
+
+
+def _hashable(kind: T.DataType, col: Column) -> Column:
+    """The value without maps, which have no order of their own."""
+    if isinstance(kind, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(col), lambda e: F.to_json(F.struct(e.alias("e")))))
+    if isinstance(kind, (T.StructType, T.ArrayType)) and "map<" in kind.simpleString():
+        return F.to_json(F.struct(col.alias("v")))
+    return col
 
-def _ddl(columns: Sequence[str], dtypes: Mapping[str, str]) -> str:
-    return ", ".join(f"`{c}` {dtypes[c]}" for c in columns)
+
+def content_hash(df: DataFrame) -> Column:
+    """An aggregate over the rows of `df` that doesn't depend on their order: a fingerprint
+    of the columns, the number of rows, and the sums of two 64-bit hashes per row.
+
+    Sums are taken over thirds of each hash, which can't overflow below 2**41 rows.
+    """
+    cells = [F.coalesce(_hashable(f.dataType, quoted(f.name)).cast("string"), F.lit("")) for f in df.schema.fields]
+    nulls = F.concat(*[quoted(c).isNull().cast("int").cast("string") for c in df.columns]) if df.columns else F.lit("")
+    sums = []
+    for seed in ("a", "b"):
+        one = F.xxhash64(F.lit(seed), nulls, *cells)
+        for shift, bits in ((0, 21), (21, 21), (42, 22)):
+            sums.append(F.coalesce(F.sum(F.shiftrightunsigned(one, shift).bitwiseAND((1 << bits) - 1)), F.lit(0)).cast("string"))
+    return F.sha2(F.concat_ws(" ", F.lit(df.schema.json()), F.count(F.lit(1)).cast("string"), *sums), 256)
 
 
 class SnapshotStore:
@@ -158,20 +205,11 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    def _dataset(self, source: str, dataset: str) -> str:
-        return f"{self.root}/{source}/{dataset}"
-
-    def path(self, source: str, dataset: str, version: str) -> str:
-        return f"{self._dataset(source, dataset)}/version={version}"
+        self.log = CommitLog(spark, f"{self.root}/_catalogue", ENTRY)
 
     def catalogue(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(CATALOGUE).parquet(f"{self.root}/_catalogue")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], CATALOGUE)
+        """One row per version, from the newest checkpoint and the commits behind it."""
+        return self.log.entries()
 
     def store(
         self,
@@ -181,47 +219,78 @@ class SnapshotStore:
         params: Mapping[str, str] | None = None,
         file_format: str = "parquet",
         version: str | None = None,
+        share: bool = False,
     ) -> str:
-        """Write a new version and add its catalogue row. An existing version is an error.
+        """Write a new version and publish it with its catalogue row; the version's name.
 
-        The row count is read back from the written files, so it is what a
-        reader will find.
+        A version named by the caller must not exist. One named by the clock gets a number
+        behind it where another writer has the same second. The row count is read back
+        from the written files, so it is what a reader will find. With `share`, the content
+        is compared with that of the dataset's other versions, and equal content is kept
+        once. A job that ends before it has published leaves a hidden folder, no version.
         """
         if file_format not in FORMATS:
             raise ValueError(f"unsupported format: {file_format}")
-        version = version or stamp(STAMP)
-        path = self.path(source, dataset, version)
-        options = CSV_OPTIONS if file_format == "csv" else {}
-        df.write.mode("errorifexists").format(file_format).options(**options).save(path)
-        row = (
-            source,
-            dataset,
-            version,
-            self._read(path, file_format, _ddl(df.columns, dict(df.dtypes))).count(),
-            len(df.columns),
-            df.columns,
-            dict(df.dtypes),
-            datetime.now(timezone.utc),
-            file_format,
-            {k: str(v) for k, v in (params or {}).items()},
-        )
-        entry = self.spark.createDataFrame([row], CATALOGUE).coalesce(1)
-        entry.write.mode("append").parquet(f"{self.root}/_catalogue")
-        return path
+        wanted = version or stamp(STAMP)
+        if version:
+            self._refuse_known(self.catalogue(), source, dataset, version)
+        own = f"{source}/{dataset}/_data/{wanted}-{uuid.uuid4().hex}"
+        path = f"{self.root}/{own}"
+        if file_format == "csv":
+            codec.write(df, path)
+        else:
+            df.write.mode("errorifexists").parquet(path)
+        written = self._read(path, file_format)
+        content = written.agg(content_hash(written).alias("content")).first()["content"] if share else None
+        rows = written.count()
+        done: dict[str, str] = {}
+
+        def entry(known: DataFrame) -> dict[str, object]:
+            same = known.filter((F.col("source") == source) & (F.col("dataset") == dataset))
+            if version:
+                self._refuse_known(known, source, dataset, version)
+                name = version
+            else:
+                near = same.filter(F.col("version").startswith(wanted)).select("version")
+                name = first_free(wanted, [r["version"] for r in near.collect()])
+            equal = same.filter((F.col("content") == content) & (F.col("file_format") == file_format)).first() if content else None
+            done.update(name=name, location=equal["location"] if equal else own)
+            return {
+                "source": source,
+                "dataset": dataset,
+                "version": name,
+                "row_count": rows,
+                "column_count": len(df.columns),
+                "columns": df.columns,
+                "dtypes": dict(df.dtypes),
+                "created_at": datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%fZ"),
+                "file_format": file_format,
+                "params": {k: str(v) for k, v in (params or {}).items()},
+                "location": done["location"],
+                "content": content,
+            }
 
-    def _read(self, path: str, file_format: str, columns: str) -> DataFrame:
-        """One version's files; CSV gets its types from the catalogue."""
-        if file_format == "parquet":
-            return self.spark.read.parquet(path)
-        return self.spark.read.options(**CSV_OPTIONS, multiLine=True).schema(columns).csv(path)
+        try:
+            self.log.publish(entry)
+        except FileExistsError:
+            self.log.files.delete(path)
+            raise
+        if done["location"] != own:
+            self.log.files.delete(path)
+        return done["name"]
+
+    @staticmethod
+    def _refuse_known(catalogue: DataFrame, source: str, dataset: str, version: str) -> None:
+        if not metadata(catalogue, source, dataset, version).isEmpty():
+            raise FileExistsError(f"version already exists: {source}/{dataset}/{version}")
+
+    def _read(self, path: str, file_format: str) -> DataFrame:
+        return codec.read(self.spark, path) if file_format == "csv" else self.spark.read.parquet(path)
 
     def _load(self, found: DataFrame) -> DataFrame | None:
         """The data of the single catalogue row; the driver fetches that one row only."""
         row = found.first()
-        if row is None:
-            return None
-        path = self.path(row.source, row.dataset, row.version)
-        return self._read(path, row.file_format, _ddl(row["columns"], row["dtypes"]))
+        return None if row is None else self._read(f"{self.root}/{row['location']}", row["file_format"])
 
     def load_latest(self, source: str, dataset: str) -> DataFrame | None:
         return self._load(metadata(self.catalogue(), source, dataset))
@@ -234,12 +303,19 @@ class SnapshotStore:
         rows = versions(self.catalogue(), source, dataset)
         return self._load(latest_versions(rows, at))
 
-    def compact_catalogue(self, target: str, keep: int = CATALOGUE_VERSIONS) -> str:
-        """Write the newest rows of each dataset as a new catalogue table."""
-        newest(self.catalogue(), keep).write.mode("errorifexists").parquet(target)
-        return target
+    def unpublished(self, source: str, dataset: str) -> list[str]:
+        """Folders of a dataset that no version names: those of writers that are at it or ended early."""
+        folder = f"{source}/{dataset}/_data"
+        named = versions(self.catalogue(), source, dataset).select("location")
+        found = [(f"{folder}/{name}",) for name in self.log.files.names(f"{self.root}/{folder}")]
+        listed = self.spark.createDataFrame(found, "location string")
+        return sorted(row["location"] for row in listed.join(named, "location", "left_anti").collect())
+
+    def compact_catalogue(self) -> int:
+        """Write the catalogue as one table, which the store opens from then on. No version is left out."""
+        return self.log.checkpoint()
 
 
 def as_stamp(col: Column) -> Column:
-    """A version stamp as timestamp."""
-    return F.to_timestamp(col, "yyyyMMdd_HHmmss")
+    """A version stamp as timestamp, whatever follows its seconds; null if it is none."""
+    return F.try_to_timestamp(F.substring(col, 1, 15), F.lit("yyyyMMdd_HHmmss"))

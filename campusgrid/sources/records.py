@@ -32,10 +32,13 @@ from campusgrid.schema import (
     REGION_LABELS,
     STRING_COLUMNS,
 )
-from campusgrid.sources.sinks import CSV_OPTIONS
+from campusgrid.sources import codec
 
 # --- reading ---------------------------------------------------------------
 
+#: CSV of other origin: quotes doubled, outer blanks kept.
+FOREIGN_CSV = {k: codec.OPTIONS[k] for k in ("header", "escape", "ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")}
+
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE) -> DataFrame:
     """Records of landed page files, one JSON document per file."""
@@ -68,15 +71,19 @@ def union_records(*parts: DataFrame) -> DataFrame:
 def read_records(
     spark: SparkSession,
     path: str,
-    schema: T.StructType = RECORD,
+    schema: T.StructType | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """Records from JSON files: one record or one array per line.
 
-    A pretty-printed array over many lines needs `multi_line`; such a file
-    cannot be split, so land large dumps as lines.
+    Without a schema, the types are those beside the data (`write_raw_json`), or else
+    those of landed records. A pretty-printed array over many lines needs `multi_line`;
+    such a file cannot be split, so land large dumps as lines.
     """
-    return spark.read.schema(schema).json(path, multiLine=multi_line, mode="FAILFAST")
+    own = None if schema else codec.read_schema(spark, path)
+    options = codec.STAMPS if own else {}
+    reader = spark.read.options(**options).schema(schema or own or RECORD)
+    return reader.json(path, multiLine=multi_line, mode="FAILFAST")
 
 
 def read_table(
@@ -87,14 +94,18 @@ def read_table(
 ) -> DataFrame:
     """A Parquet or CSV table, chosen by the ending of the path.
 
-    Give the schema for large CSV input; without it the file is read once more
-    to infer the types.
+    Text that this library wrote comes back as it was, with its types; `schema` then picks
+    columns of it by name. Give the schema for other large CSV input; without it the file
+    is read once more to infer the types.
     """
     bare = path.rstrip("/")
     if bare.endswith(".parquet"):
         return spark.read.parquet(path)
     if bare.endswith(".csv"):
-        reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+        if own := codec.read_schema(spark, path):
+            rows = codec.read(spark, path, own)
+            return rows.select(*map(quoted, schema.names)) if schema else rows
+        reader = spark.read.options(**FOREIGN_CSV, multiLine=multi_line)
         return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
     raise ValueError(f"neither .parquet nor .csv: {path}")
 

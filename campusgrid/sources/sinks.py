@@ -10,20 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campusgrid.functions.text import quoted
+from campusgrid.sources import codec
 
 TABLE_MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 BATCH_ROWS = 500
 
-# Values come back as they were: quotes doubled, outer blanks kept (Spark's CSV
-# writer drops them unless told not to).
-CSV_OPTIONS = {
-    "header": True,
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-
-
 class LoadError(Exception):
     """The target cannot take the rows."""
 
@@ -33,15 +24,17 @@ def stamp(pattern: str = "%Y%m%d_%H%M%S") -> str:
 
 
 def write_raw_json(records: DataFrame, root: str, name: str, at: str | None = None) -> str:
-    """Records as JSON lines in a new folder; an existing one is never touched."""
+    """Records as JSON lines in a new folder, their types beside them; an existing one is
+    never touched. Stamps keep six digits."""
     path = f"{root}/{name}_{at or stamp()}.json"
-    records.write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+    records.write.mode("errorifexists").options(**codec.STAMPS, ignoreNullFields=False).json(path)
+    codec.write_schema(records.sparkSession, path, records.schema)
     return path
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
-    return path
+    """Rows as text that `records.read_table` gives back as they are."""
+    return codec.write(df, path)
 
 
 def write_staging(df: DataFrame, root: str, name: str, at: str | None = None) -> tuple[str, str]:

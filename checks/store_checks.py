@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from campusgrid.operators import snapshots as S
 from campusgrid.session import scratch_dir
 from checks.registry import check
-from checks.tables import CATALOGUE_SQL, catalogue, table
+from checks.tables import CATALOGUE_SQL, ODD_SQL, RAW_SQL, catalogue, compared, odd_records, table
 
 OLD, NEW, LAST = "20240101_230000", "20240102_010000", "20240301_120000"
 
@@ -52,6 +54,56 @@ def _(spark, sf_dir):
     )
 
 
+@check("l1_text_version", f"WITH {RAW_SQL}, {ODD_SQL} SELECT * FROM odd")
+def _(spark, sf_dir):
+    store = S.SnapshotStore(spark, scratch_dir(spark))
+    store.store(odd_records(spark, sf_dir), "landed", "odd", file_format="csv")
+    return compared(store.load_latest("landed", "odd"))
+
+
+@check(
+    "l1_compacted",
+    f"""SELECT source, dataset, version, row_count, true AS reachable FROM {STORED}
+      UNION ALL SELECT 'erp', 'part', '{LAST}', count(*), true FROM part WHERE p_size > 25""",
+)
+def _(spark, sf_dir):
+    """Every version is found and opened after the catalogue became one table, and later ones too."""
+    store = _store(spark, sf_dir)
+    store.compact_catalogue()
+    store.store(table(spark, sf_dir, "part").filter("p_size > 25"), "erp", "part", version=LAST)
+    opened = S.SnapshotStore(spark, store.root)
+    listed = opened.catalogue().select("source", "dataset", "version", "row_count")
+    parts = [
+        opened.load_version(r.source, r.dataset, r.version)
+        .agg((F.count(F.lit(1)) == r.row_count).alias("reachable"))
+        .withColumn("_key", F.lit(f"{r.source}/{r.dataset}/{r.version}"))
+        for r in listed.collect()
+    ]
+    sizes = reduce(DataFrame.unionByName, parts)
+    return listed.join(sizes, F.concat_ws("/", "source", "dataset", "version") == F.col("_key")).drop("_key")
+
+
+@check(
+    "l11_same_content",
+    f"""SELECT '{OLD}' AS version, 1 AS kept, count(*) AS row_count FROM orders
+      UNION ALL SELECT '{NEW}', 1, count(*) FROM orders
+      UNION ALL SELECT '{LAST}', 2, count(*) FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def _(spark, sf_dir):
+    """Equal rows in another order are kept once; `kept` numbers the places of the data."""
+    store, rows = S.SnapshotStore(spark, scratch_dir(spark)), table(spark, sf_dir, "orders")
+    for version, df in (
+        (OLD, rows),
+        (NEW, rows.orderBy(F.desc("o_totalprice"))),
+        (LAST, rows.filter("o_orderstatus <> 'F'")),
+    ):
+        store.store(df, "erp", "orders", version=version, share=True)
+    place = F.dense_rank().over(Window.partitionBy("source", "dataset").orderBy("first"))
+    first = F.min("version").over(Window.partitionBy("location"))
+    found = store.catalogue().withColumn("first", first).withColumn("kept", place)
+    return found.select("version", "kept", "row_count")
+
+
 @check("l2_load_latest", "SELECT * FROM customer")
 def _(spark, sf_dir):
     return _store(spark, sf_dir).load_latest("crm", "customer")
@@ -136,6 +188,11 @@ def _(spark, sf_dir):
     return S.newest(catalogue(spark, sf_dir), 3)
 
 
+@check("l7_newest_2000", _newest(2000))
+def _(spark, sf_dir):
+    return S.newest(catalogue(spark, sf_dir), 2000)
+
+
 @check(
     "l8_expired_by_count",
     cat("""SELECT * FROM catalogue

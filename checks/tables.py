@@ -196,6 +196,33 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw rows, with texts and stamps that text files easily lose."""
+    key = F.col("school_id")
+    note = (
+        F.when(key % 5 == 0, "")
+        .when(key % 5 == 1, None)
+        .when(key % 5 == 2, 'a\r\nb\\N,"')
+        .when(key % 5 == 3, "\\N")
+        .otherwise(" \\n ")
+    )
+    seen = F.timestamp_micros(key * 1_000_003)
+    return raw_records(spark, sf_dir).withColumns({"note": note, "seen": seen})
+
+
+def compared(odd: DataFrame) -> DataFrame:
+    """The odd rows as values that compare alike everywhere: NaN told by a column of its own,
+    stamps in microseconds."""
+    rate = F.col("admission_rate_overall")
+    return odd.withColumns(
+        {
+            "not_a_number": F.coalesce(F.isnan(rate), F.lit(False)),
+            "admission_rate_overall": F.when(~F.isnan(rate), rate),
+            "seen": F.unix_micros("seen"),
+        }
+    )
+
+
 # Outer blanks that occur in the raw rows.
 SQL_BLANKS = "' ' || chr(9) || chr(10)"
 SQL_NUMBER = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
@@ -427,3 +454,14 @@ def api_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     degree = (F.col("school_id") % 4 + 1).cast("int").alias("school.degrees_awarded.predominant")
     return df.select(*[quoted(column).alias(field) for field, column in names.items()], degree)
+
+# `compared(odd_records())`; follows RAW_SQL.
+ODD_SQL = r"""
+odd AS (
+  SELECT school_id, school_name, school_state, student_size, completion_rate_overall,
+    coalesce(isnan(admission_rate_overall), false) AS not_a_number,
+    CASE WHEN NOT isnan(admission_rate_overall) THEN admission_rate_overall END AS admission_rate_overall,
+    CASE school_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'a' || chr(13) || chr(10) || 'b\N,"'
+      WHEN 3 THEN '\N' ELSE ' \n ' END AS note,
+    school_id * 1000003 AS seen
+  FROM raw)"""

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
+from campusgrid.operators import commits
 from campusgrid.operators import snapshots as S
 from campusgrid.plans.run import batch_id, run, run_summary
 from campusgrid.sources import sinks as K
@@ -37,9 +40,10 @@ def test_latest_compares_the_whole_stamp(spark, store):
 
 def test_versions_are_never_replaced(spark, store):
     store.store(spark.range(1), "a", "d", version="20240101_000000")
-    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+    with pytest.raises(FileExistsError, match="already exists"):
         store.store(spark.range(2), "a", "d", version="20240101_000000")
     assert store.load_latest("a", "d").count() == 1
+    assert store.unpublished("a", "d") == []
     with pytest.raises(ValueError):
         store.store(spark.range(1), "a", "d", file_format="xlsx")
 
@@ -64,12 +68,110 @@ def test_empty_catalogue(store):
     assert tuple(S.summary(store.catalogue()).first()) == (0, 0, 0, None)
 
 
-def test_compact(spark, store, tmp_path):
+def test_compact(spark, store):
     for i in range(4):
+        store.store(spark.range(i), "a", "d", version=f"2024010{i + 1}_000000")
+    before = store.catalogue().orderBy("version").collect()
+    assert store.compact_catalogue() == 3
+    store.store(spark.range(9), "a", "d", version="20240105_000000")
+    opened = S.SnapshotStore(spark, store.root)
+    assert opened.log.checkpointed() == 3
+    assert opened.catalogue().orderBy("version").collect()[:4] == before
+    sizes = [opened.load_version("a", "d", f"2024010{i}_000000").count() for i in range(1, 6)]
+    assert sizes == [0, 1, 2, 3, 9]
+
+
+def test_a_checkpoint_is_written_on_the_way(spark, store, monkeypatch):
+    monkeypatch.setattr(commits, "CHECKPOINT_EVERY", 3)
+    monkeypatch.setattr(commits, "GROUP", 2)
+    for i in range(7):
         store.store(spark.range(1), "a", "d", version=f"2024010{i + 1}_000000")
-    target = store.compact_catalogue(str(tmp_path / "compact"), keep=2)
-    kept = [r.version for r in spark.read.parquet(target).orderBy("version").collect()]
-    assert kept == ["20240103_000000", "20240104_000000"]
+    assert store.log.checkpointed() >= 3
+    listed = [r["commit"] for r in store.catalogue().orderBy("version").collect()]
+    assert listed == list(range(7))
+
+
+def test_two_stores_in_one_second(spark, store, monkeypatch):
+    monkeypatch.setattr(S, "stamp", lambda pattern: "20240101_000000")
+    names = [store.store(spark.range(k), "a", "d") for k in (1, 2, 3)]
+    assert names == ["20240101_000000", "20240101_000000_0001", "20240101_000000_0002"]
+    assert store.load_latest("a", "d").count() == 3
+    assert store.load_as_of("a", "d", "20240101_000000_0001").count() == 2
+    at = store.catalogue().select(S.as_stamp(F.col("version")).cast("string").alias("at")).distinct().collect()
+    assert [r["at"] for r in at] == ["2024-01-01 00:00:00"]
+
+
+def test_stores_at_the_same_time_all_succeed(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    with ThreadPoolExecutor(6) as pool:
+        names = list(pool.map(lambda k: S.SnapshotStore(spark, root).store(spark.range(k), "a", "d"), range(6)))
+    found = S.SnapshotStore(spark, root).catalogue().collect()
+    assert sorted(r["commit"] for r in found) == list(range(6))
+    assert len(set(names)) == 6 and sorted(r["row_count"] for r in found) == list(range(6))
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_publishing_never_replaces(spark, tmp_path, local):
+    files = commits.Files(spark, str(tmp_path))
+    files._local = local
+    for k in range(2):
+        files.write(f"{tmp_path}/own{k}", f"text {k}")
+    files.publish(f"{tmp_path}/own0", f"{tmp_path}/deep/0.json")
+    with pytest.raises(commits.Taken):
+        files.publish(f"{tmp_path}/own1", f"{tmp_path}/deep/0.json")
+    assert (tmp_path / "deep" / "0.json").read_text() == "text 0"
+    for k in range(2):
+        spark.range(k + 1).write.parquet(f"{tmp_path}/table{k}")
+    files.publish(f"{tmp_path}/table0", f"{tmp_path}/deep/table")
+    with pytest.raises(commits.Taken):
+        files.publish(f"{tmp_path}/table1", f"{tmp_path}/deep/table")
+    assert spark.read.parquet(f"{tmp_path}/deep/table").count() == 1
+
+
+def test_a_loser_of_a_race_tries_the_next_number(spark, store):
+    first = S.SnapshotStore(spark, store.root)
+    real, calls = store.log.files.publish, []
+
+    def slow(source, target):
+        if not calls:
+            calls.append(first.store(spark.range(5), "a", "d", version="20240101_000000"))
+        real(source, target)
+
+    store.log.files.publish = slow
+    with pytest.raises(FileExistsError):
+        store.store(spark.range(1), "a", "d", version="20240101_000000")
+    calls.clear()
+    first.store = lambda *a, **k: None
+    store.store(spark.range(1), "a", "d", version="20240102_000000")
+    assert [r["commit"] for r in store.catalogue().orderBy("commit").collect()] == [0, 1]
+
+
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_a_failure_before_the_commit_leaves_no_version(spark, store, monkeypatch, file_format):
+    def broken(make):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store.log, "publish", broken)
+        with pytest.raises(RuntimeError):
+            store.store(spark.range(3), "a", "d", file_format=file_format, version="20240101_000000")
+    assert store.catalogue().count() == 0 and store.load_latest("a", "d") is None
+    assert len(store.unpublished("a", "d")) == 1
+    store.store(spark.range(2), "a", "d", file_format=file_format, version="20240101_000000")
+    assert store.load_latest("a", "d").count() == 2
+    assert len(store.unpublished("a", "d")) == 1
+
+
+def test_equal_content_is_kept_once(spark, store):
+    df = spark.createDataFrame([(1, "", {"k": 1, "j": 2}), (1, None, None), (1, None, None)], "a int, b string, m map<string,int>")
+    turned = spark.createDataFrame([(1, None, None), (1, "", {"j": 2, "k": 1}), (1, None, None)], df.schema)
+    for day, rows in enumerate([df, turned.repartition(3), df.limit(2), df.withColumnRenamed("b", "c")]):
+        store.store(rows, "a", "d", version=f"2024010{day + 1}_000000", share=True)
+    found = store.catalogue().orderBy("version").collect()
+    places = [r["location"] for r in found]
+    assert places[0] == places[1] and len(set(places)) == 3
+    assert store.load_version("a", "d", "20240102_000000").count() == 3
+    assert store.unpublished("a", "d") == []
 
 
 def listing(spark):
@@ -91,6 +193,19 @@ def test_retention(spark):
     assert S.expired_by_count(catalogue, 10_000).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 15, 51, 600, 2000])
+def test_newest_of_any_number(spark, n):
+    rows = [tuple(r) for r in listing(spark).collect()]
+    rows += [("u", None, f"20240101_0000{k % 3:02d}_{k:04d}") for k in range(90)] + [(None, "x", "20240101")]
+    want = []
+    for key in {r[:2] for r in rows}:
+        want += sorted([r for r in rows if r[:2] == key], key=lambda r: r[2])[-n:]
+    df = spark.createDataFrame(rows, "source string, dataset string, version string")
+    assert sorted(map(tuple, S.newest(df, n).collect()), key=str) == sorted(want, key=str)
+    gone = sorted(map(tuple, S.expired_by_count(df, n).collect()), key=str)
+    assert gone == sorted(set(rows) - set(want), key=str)
+
+
 def test_catalogue_questions(spark, rows_of):
     catalogue = listing(spark)
     assert rows_of(S.sources(catalogue)) == [("s",), ("t",)]
