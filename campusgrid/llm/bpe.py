@@ -2,8 +2,8 @@
 
 For every prefix of a piece there is exactly one token that can end its encoding.
 `PrefixEncoder` keeps that last token per prefix: the encoding is read off from
-the end, bytes are appended without touching what is there, and an edit is
-encoded again only from the edited place on.
+the end, bytes are appended without touching what is there, and after an edit only the
+prefixes near it are looked at again.
 """
 
 from __future__ import annotations
@@ -24,12 +24,16 @@ from pyspark.sql import types as T
 
 #: White space as Unicode defines it; the `\s` of the tokenizers' patterns.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Entries of each generation of a task's caches, and of its pairs of tokens. Results don't
-#: depend on them.
-CACHE_ENTRIES = 300_000
-PAIR_ENTRIES = 400_000
+#: Bytes that a task's caches hold, together and roughly, and pairs of tokens it remembers.
+#: Results don't depend on them.
+CACHE_BYTES = 60_000_000
+PAIR_ENTRIES = 250_000
+#: Bytes that Python needs for an entry besides its contents.
+ENTRY_BYTES = 260
 #: Bytes of text after which a task sends its results on.
 PORTION_BYTES = 4_000_000
+#: Characters of a long text that are coded at a time.
+SECTION = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,7 +51,7 @@ class Vocabulary:
         self._finder: ahocorasick.Automaton | None = None
         self.longest = max(map(len, ranks), default=1)
         self._parts: dict[int, tuple[int, int] | None] = {}
-        self.known_pairs: dict[tuple[int, int], bool] = {}
+        self.known_pairs: dict[int, bool] = {}
 
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens that merge into this one; None for single bytes and for
@@ -84,7 +88,7 @@ class Vocabulary:
         its rank came before the next merge of either; of equal ranks, the one
         further left goes first.
         """
-        key = (left, right)
+        key = left << 32 | right
         if key not in self.known_pairs:
             if len(self.known_pairs) > PAIR_ENTRIES:
                 self.known_pairs.clear()
@@ -117,32 +121,44 @@ class PrefixEncoder:
 
     def append(self, data: bytes) -> None:
         """Exact: what is stored for earlier prefixes stays right."""
+        self.data += data
+        self._extend([], 0, 0)
+
+    def replace(self, start: int, end: int, data: bytes) -> None:
+        """Bytes start to end become `data`. Prefixes before them are kept, and so are those
+        behind them as soon as they end as before: a last token depends on the tokens and
+        bytes of `longest` places only, so as many equal ones in a row mean that the rest
+        is equal too."""
+        old, self.last = self.last, self.last[:start]
+        self.data = self.data[:start] + data + self.data[end:]
+        self._extend(old, start + len(data), len(data) - (end - start))
+
+    def _extend(self, old: list[int], equal_from: int, shift: int) -> None:
+        """Last tokens for all bytes that have none. `old`: those of an earlier text, whose
+        bytes are the same from `equal_from` on, `shift` places before."""
         v, last = self.vocabulary, self.last
-        start, self.data = len(self.data), self.data + data
-        from_ = max(0, start - v.longest + 1)
+        done, same = len(last), 0
+        from_ = max(0, done - v.longest + 1)
         known, fits = v.known_pairs, v.fits
-        done = len(last)
         for at, (token, length) in v.finder().iter(self.data[from_:].decode("latin-1")):
             if from_ + at != done:
                 continue  # that prefix has its last token
             before = done + 1 - length
             if before:
-                pair = (last[before - 1], token)
-                fit = known.get(pair)
-                if not (fits(*pair) if fit is None else fit):
+                left = last[before - 1]
+                fit = known.get(left << 32 | token)
+                if not (fits(left, token) if fit is None else fit):
                     continue
             last.append(token)
             done += 1
+            if old and done > equal_from:
+                same = same + 1 if old[done - 1 - shift] == token else 0
+                if same == v.longest:
+                    last += old[done - shift :]
+                    return
         if len(last) != len(self.data):
             raise ValueError("the vocabulary lacks a byte of the text")
 
-    def replace(self, start: int, end: int, data: bytes) -> None:
-        """Bytes start to end become `data`; prefixes before them are kept."""
-        rest = self.data[end:]
-        del self.last[start:]
-        self.data = self.data[:start]
-        self.append(data + rest)
-
     def ids(self) -> list[int]:
         """The tokens, read from the end; a piece that is a token is that token."""
         if self.data in self.vocabulary.ranks:
@@ -155,20 +171,23 @@ class PrefixEncoder:
 
 
 class _Cache(dict):
-    """Computes what is missing. When full, it becomes the older generation, out of which
-    entries still in use come back, and the one before is dropped."""
+    """Computes what is missing. When it holds half its bytes, it becomes the older
+    generation, out of which entries still in use come back, and the one before is dropped."""
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, most: int) -> None:
         self._make = make
+        self._most, self._held = most // 2, 0
         self._older: dict = {}
 
     def __missing__(self, key):
         value = self._older.get(key, self)  # any value but the cache itself, None too
         if value is self:
             value = self._make(key)
-        if len(self) >= CACHE_ENTRIES:
+        self._held += ENTRY_BYTES + len(key) + (sum(map(len, value)) if value else 0)
+        if self._held > self._most:
             self._older = dict(self)
             self.clear()
+            self._held = 0
         self[key] = value
         return value
 
@@ -183,42 +202,61 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
-        self._pieces = _Cache(self._piece)
-        self._heads = _Cache(self._word)
-        self._tails = _Cache(lambda word: self._word(word, " "))
+        self._cut = regex.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
+        self._pieces = _Cache(lambda piece: self._record(self._piece(piece)), CACHE_BYTES // 4)
+        self._heads = _Cache(self._word, CACHE_BYTES // 12)
+        self._tails = _Cache(lambda word: self._word(word, " "), CACHE_BYTES * 2 // 3)
 
     def _piece(self, piece: str) -> list[int]:
         data = piece.encode()
         own = self.vocabulary.ranks.get(data)
         return PrefixEncoder(self.vocabulary, data).ids() if own is None else [own]
 
-    def ids(self, text: str) -> list[int]:
-        return [i for piece in self.pattern.findall(text) for i in self._pieces[piece]]
-
-    def decode(self, ids) -> bytes:
-        tokens = self.vocabulary.tokens
-        return b"".join([tokens[i] for i in ids])
+    @staticmethod
+    def _record(ids: list[int]) -> tuple[bytes, bytes]:
+        """Ids as decimal text and as 32-bit numbers."""
+        return " ".join(map(str, ids)).encode(), array("i", ids).tobytes()
 
-    def _record(self, ids: list[int]) -> tuple[int, bytes, bytes, bytes]:
-        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids), array("i", ids).tobytes()
+    def _joined(self, pieces: list[str]) -> tuple[bytes, bytes]:
+        records = [self._pieces[piece] for piece in pieces]
+        return b" ".join([text for text, _ in records]), b"".join([ids for _, ids in records])
 
-    def _word(self, word: str, blank: str = ""):
+    def _word(self, word: str, blank: str = "") -> tuple[bytes, bytes] | None:
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         pieces = self.pattern.findall(blank + word)
         # A word of one piece is remembered as a word already.
-        return self._record(self._piece(pieces[0]) if len(pieces) == 1 else self.ids(blank + word))
+        return self._record(self._piece(pieces[0])) if len(pieces) == 1 else self._joined(pieces)
+
+    def _sections(self, text: str) -> Iterator[str]:
+        """The text cut at blanks that begin a piece; each section but the first begins with its blank."""
+        begin = 0
+        while len(text) - begin > SECTION:
+            cut = self._cut.search(text, begin + SECTION)
+            if cut is None:
+                break
+            yield text[begin : cut.start()]
+            begin = cut.start()
+        yield text[begin:] if begin else text
+
+    def coded(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """Ids as decimal text and as 32-bit numbers, a section of the text at a time."""
+        for section in self._sections(text):
+            words = section.split(" ")
+            if section[0] == " " and section is not text:
+                records = list(map(self._tails.__getitem__, words[1:]))
+            else:
+                records = [self._heads[words[0]]]
+                records += map(self._tails.__getitem__, words[1:])
+            if None in records:
+                yield self._joined(self.pattern.findall(section))
+            else:
+                texts, ids = zip(*records)
+                yield b" ".join(texts), b"".join(ids)
 
-    def coded(self, text: str) -> tuple[int, bytes, bytes, tuple[bytes, ...]]:
-        """Number of ids, ids as decimal text, the bytes they decode to, ids as 32-bit
-        numbers in parts."""
-        words = text.split(" ")
-        records = [self._heads[words[0]]]
-        records += map(self._tails.__getitem__, words[1:])
-        if None in records:
-            records = [self._record(self.ids(text))]
-        counts, texts, decoded, ids = zip(*records)
-        return sum(counts), b" ".join(texts), b"".join(decoded), ids
+    def decode(self, ids) -> bytes:
+        tokens = self.vocabulary.tokens
+        return b"".join([tokens[i] for i in ids])
 
 
 OUTPUTS = {
@@ -265,6 +303,7 @@ def encode(
     only the rank table is broadcast, whose size the file fixes.
     """
     shared = docs.sparkSession.sparkContext.broadcast({"ranks": ranks, "made": {}})
+    decodes = bool({"decoded", "decoded_sha256"} & set(outputs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = shared.value["made"]  # lives as long as the worker
@@ -276,18 +315,28 @@ def encode(
             ids, ends = array("i"), [0]
             for value in batch.column(batch.num_columns - 1):
                 content = value.as_py()
-                n, ids_text, decoded, parts = coder.coded(content) if content else (0, b"", b"", ())
-                if "ids" in outputs:
-                    ids.frombytes(b"".join(parts))
-                    ends.append(len(ids))
+                n, decoded = 0, []
+                digests = {"ids_sha256": hashlib.sha256(), "decoded_sha256": hashlib.sha256()}
+                for ids_text, packed in coder.coded(content) if content else ():
+                    if n and ids_text:
+                        digests["ids_sha256"].update(b" ")
+                    n += len(packed) // 4
+                    digests["ids_sha256"].update(ids_text)
+                    if "ids" in outputs:
+                        ids.frombytes(packed)
+                    if decodes:
+                        part = coder.decode(np.frombuffer(packed, dtype=np.int32).tolist())
+                        digests["decoded_sha256"].update(part)
+                        if "decoded" in outputs:
+                            decoded.append(part)
+                ends.append(len(ids))
                 for name, column in rows.items():
                     if name == "n_tokens":
                         column.append(n)
                     elif name == "decoded":
-                        column.append(decoded)
+                        column.append(b"".join(decoded))
                     else:
-                        source = ids_text if name == "ids_sha256" else decoded
-                        column.append(hashlib.sha256(source).hexdigest())
+                        column.append(digests[name].hexdigest())
             made_columns = {name: pa.array(column, _ARROW[name]) for name, column in rows.items()}
             if "ids" in outputs:
                 made_columns["ids"] = pa.ListArray.from_arrays(
@@ -304,7 +353,11 @@ def encode(
 
 
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", output: str = "decoded") -> DataFrame:
-    """All columns and the bytes the ids stand for; null ids stay null."""
+    """All columns and the bytes the ids stand for; null ids stay null, no ids are no bytes.
+
+    Rows are independent: repeated ones and other columns change nothing, an empty table
+    gives an empty one. An id that the ranks lack fails the job.
+    """
     shared = docs.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

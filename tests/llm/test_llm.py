@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -52,6 +53,65 @@ def test_bpe_appends_and_edits():
     assert grown.ids() == bpe.PrefixEncoder(vocabulary, b"the realness of it").ids()
 
 
+def test_bpe_edits_look_at_few_prefixes():
+    vocabulary = bpe.Vocabulary(RANKS)
+    pick = random.Random(6)
+    text = bytes(pick.choice(b"abcdefgh etnsr") for _ in range(4000)).replace(b" ", b"") + b"e" * 300
+    own = bpe.PrefixEncoder(vocabulary, text)
+    for case in range(60):
+        start = pick.randrange(len(own.data) + 1)
+        end = min(len(own.data), start + pick.choice([0, 1, 5, 40]))
+        new = bytes(pick.choice(b"etaoin") for _ in range(pick.choice([0, 1, 3, 30])))
+        looked = []
+        vocabulary.finder = lambda real=vocabulary._finder: Counted(real, looked)
+        own.replace(start, end, new)
+        del vocabulary.finder
+        whole = bpe.PrefixEncoder(vocabulary, own.data)
+        assert own.last == whole.last and own.ids() == whole.ids()
+        if start < 3500:
+            assert max(looked) < len(new) + 12 * vocabulary.longest + 300
+
+
+class Counted:
+    """An automaton that tells how far it was read."""
+
+    def __init__(self, real, looked):
+        self.real, self.looked = real, looked
+
+    def iter(self, text):
+        for at, found in self.real.iter(text):
+            self.looked.append(at)
+            yield at, found
+
+
+def test_bpe_caches_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 60_000)
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    text = " ".join(f"word{i % 700} x{i}y" for i in range(3000))
+    ids = [i for _, packed in coder.coded(text) for i in memoryview(packed).cast("i")]
+    assert ids == library.encode_ordinary(text)
+    held = [c._held for c in (coder._pieces, coder._heads, coder._tails)]
+    assert sum(2 * h for h in held) <= 60_000 and len(coder._tails) + len(coder._tails._older) < 200
+
+
+def test_bpe_codes_long_texts_in_sections(spark, monkeypatch):
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    pick = random.Random(8)
+    monkeypatch.setattr(bpe, "SECTION", 40)
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    for _ in range(200):
+        text = "".join(pick.choice(["a", "Bc", " ", "  ", "\n", " \n", "'s", "12", "\u3000", "é", ". "]) for _ in range(pick.choice([1, 30, 300])))
+        found = [(t, [*memoryview(p).cast("i")]) for t, p in coder.coded(text)]
+        ids = [i for _, part in found for i in part]
+        assert ids == library.encode_ordinary(text)
+        assert b" ".join(t for t, _ in found if t) == " ".join(map(str, ids)).encode()
+    row = bpe.encode(docs(spark, ["word " * 600_000]), RANKS, public_tokenizers.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256")).first()
+    ids = library.encode_ordinary("word " * 600_000)
+    assert row["n_tokens"] == len(ids) and row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    assert row["decoded_sha256"] == hashlib.sha256(b"word " * 600_000).hexdigest()
+
+
 def plain_repeats(rows):
     first = {}
     for i, w in rows:
