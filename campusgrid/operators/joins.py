@@ -17,15 +17,16 @@ from campusgrid.schema import SURVEY_KEY
 SPLIT_ROWS = 1_000_000
 
 
-def _rows_per_key(surveys: Mapping[str, DataFrame], key: str) -> DataFrame:
-    """Per key the rows each survey has (`_n0`, `_n1`, ...) and the largest of them (`_most`)."""
-    keys = [
-        df.select(F.col(key), F.lit(i).alias("_from")) for i, df in enumerate(surveys.values())
-    ]
+def _rows_per_key(surveys: Sequence[DataFrame], key: str) -> DataFrame:
+    """Per key the rows each survey has (`_n0`, `_n1`, ...) and the largest of them (`_most`).
+
+    Null keys of different surveys are different keys: `_origin` tells them apart.
+    """
+    keys = [df.select(F.col(key), "_origin", F.lit(i).alias("_from")) for i, df in enumerate(surveys)]
     per_survey = [
         F.count(F.when(F.col("_from") == i, 1)).alias(f"_n{i}") for i in range(len(keys))
     ]
-    counts = reduce(DataFrame.unionByName, keys).groupBy(key).agg(*per_survey)
+    counts = reduce(DataFrame.unionByName, keys).groupBy(key, "_origin").agg(*per_survey)
     return counts.withColumn("_most", F.greatest(*[F.col(f"_n{i}") for i in range(len(keys))]))
 
 
@@ -35,29 +36,31 @@ def _with_missing_keys(df: DataFrame, i: int, counts: DataFrame, key: str) -> Da
     `_most` is never 0. Naming it makes every use of the counts need the same
     columns, so that their shuffle runs once and is reused.
     """
-    missing = counts.filter((F.col("_most") > 0) & (F.col(f"_n{i}") == 0)).select(key)
+    missing = counts.filter((F.col("_most") > 0) & (F.col(f"_n{i}") == 0)).select(key, "_origin")
     return df.unionByName(missing, allowMissingColumns=True)
 
 
-def _salted(df: DataFrame, i: int, hot: DataFrame, key: str) -> DataFrame:
-    """Spread hot keys: the survey with most rows of a key deals them out, others repeat theirs.
+def _is_hot(key: str) -> Column:
+    return F.col(key).eqNullSafe(F.col("_hot")) & (F.col("_origin") == F.col("_hot_origin"))
 
-    Equal rows of a hot key collapse to one with its number of `_copies`, which are dealt
-    over the shares in turn, from a share that follows from the content; so a task that
-    runs again deals alike. Rows with maps cannot be grouped: there the content alone
-    names the share. Without hot keys, Spark drops the branch that deals at run time.
-    """
-    own = F.coalesce(F.col("_largest") == i, F.lit(False))
+
+def _repeated(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The rows, those of hot keys once per share."""
     shares = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.col("_parts") - 1)
     )
-    repeated = (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left")
-        .filter(~own)
-        .select(*map(quoted, df.columns), F.explode(shares).alias("_salt"))
-        .withColumn("_copies", F.lit(1).cast("bigint"))
-    )
-    rows = df.join(F.broadcast(hot.filter(own)), F.col(key).eqNullSafe(F.col("_hot")))
+    marked = df.join(F.broadcast(hot), _is_hot(key), "left")
+    return marked.select(*map(quoted, df.columns), F.explode(shares).alias("_salt"), F.lit(1).cast("bigint").alias("_copies"))
+
+
+def _dealt(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """The rows of hot keys dealt over the shares.
+
+    Equal rows collapse to one with its number of `_copies`, which are dealt in turn, from a
+    share that follows from the content; so a task that runs again deals alike. Rows with
+    maps cannot be grouped: there the content alone names the share.
+    """
+    rows = df.join(F.broadcast(hot), _is_hot(key))
     plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     if len(plain) == len(df.columns):
         rows = rows.groupBy(*map(quoted, df.columns), "_parts").agg(F.count("*").alias("_n"))
@@ -66,12 +69,11 @@ def _salted(df: DataFrame, i: int, hot: DataFrame, key: str) -> DataFrame:
     turns = F.sequence(F.lit(0), F.least(F.col("_n"), F.col("_parts")).cast("int") - 1)
     start = F.xxhash64(*map(quoted, plain))
     copies = F.floor((F.col("_n") + F.col("_parts") - 1 - F.col("_turn")) / F.col("_parts"))
-    dealt = rows.withColumn("_turn", F.explode(turns)).select(
+    return rows.withColumn("_turn", F.explode(turns)).select(
         *map(quoted, df.columns),
         F.pmod(F.pmod(start, F.col("_parts")) + F.col("_turn"), F.col("_parts")).cast("int").alias("_salt"),
         copies.cast("bigint").alias("_copies"),
     )
-    return repeated.union(dealt)
 
 
 def merge_surveys(
@@ -79,17 +81,20 @@ def merge_surveys(
 ) -> DataFrame:
     """Full outer join of any number of surveys on the key, columns prefixed by survey code.
 
-    A survey given as None is skipped. Keys may repeat: a key with m rows in
-    one survey and n in another gives m * n rows, and null keys match null keys.
+    A survey given as None is skipped. Keys are compared by plain equality: a key with m
+    rows in one survey and n in another gives m * n rows, and a row without a key
+    matches none.
 
     A chain of full outer joins would shuffle the growing result again at every
     step and keep a hot key in one task. So the rows per key are counted first,
     over the key columns alone. Every survey then gets an empty row for each key
-    it lacks, which makes plain inner joins give the same rows: each survey is
-    shuffled once, and the result keeps its partitioning from join to join. A
-    key with more than `split_rows` rows in a survey is dealt over several
-    tasks. The broadcast list of such keys has at most one entry per
-    `split_rows` input rows.
+    it lacks, which makes plain inner joins give the same rows: each survey is read and
+    shuffled once, and the result keeps its partitioning from join to join.
+
+    The counts also tell which keys have more than `split_rows` rows in a survey. Only if
+    there are any, the survey with most rows of such a key deals them over several tasks,
+    and the others repeat theirs. The broadcast list of such keys has at most one entry
+    per `split_rows` input rows.
     """
     present = {
         code: prefix_columns(df, code, [key]) for code, df in surveys.items() if df is not None
@@ -98,28 +103,42 @@ def merge_surveys(
         raise ValueError("no survey to merge")
     if len(present) == 1:
         return next(iter(present.values()))
-    counts = _rows_per_key(present, key)
+    marked = [
+        df.withColumn("_origin", F.when(F.col(key).isNull(), i).otherwise(-1))
+        for i, df in enumerate(present.values())
+    ]
+    counts = _rows_per_key(marked, key)
     largest = F.coalesce(
         *[F.when(F.col(f"_n{i}") == F.col("_most"), i) for i in range(len(present))]
     )
     hot = counts.filter(F.col("_most") > split_rows).select(
         F.col(key).alias("_hot"),
+        F.col("_origin").alias("_hot_origin"),
         F.ceil(F.col("_most") / split_rows).cast("int").alias("_parts"),
         largest.alias("_largest"),
     )
+    dealers = {row["_largest"] for row in hot.select("_largest").distinct().collect()}
+    same = [key, "_origin", *(["_salt"] if dealers else [])]
     merged = None
-    for i, df in enumerate(present.values()):
-        right = _salted(_with_missing_keys(df, i, counts, key), i, hot, key)
+    for i, df in enumerate(marked):
+        right = _with_missing_keys(df, i, counts, key)
+        if dealers:
+            own = hot.filter(F.col("_largest") == i)
+            others = _repeated(right.join(F.broadcast(own), _is_hot(key), "left_anti") if i in dealers else right, hot, key)
+            right = others.union(_dealt(right, own, key)) if i in dealers else others
         if merged is None:
             merged = right
             continue
-        right = right.withColumnsRenamed({key: "_key", "_salt": "_share", "_copies": "_times"})
-        same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_share"))
-        merged = merged.join(right, same).withColumn("_copies", F.col("_copies") * F.col("_times"))
-        merged = merged.drop("_key", "_share", "_times")
-    # Only the survey that deals a key has copies, at most about `split_rows` per share.
-    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return merged.withColumn("_copy", copy).drop("_salt", "_copies", "_copy")
+        right = right.withColumnsRenamed({c: f"_other{c}" for c in [*same, "_copies"]})
+        merged = merged.join(right, [quoted(c).eqNullSafe(quoted(f"_other{c}")) for c in same])
+        if dealers:
+            merged = merged.withColumn("_copies", F.col("_copies") * F.col("_other_copies"))
+        merged = merged.drop(*[f"_other{c}" for c in [*same, "_copies"]])
+    if dealers:
+        # Only the survey that deals a key has copies, at most about `split_rows` per share.
+        copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+        merged = merged.withColumn("_copy", copy).drop("_salt", "_copies", "_copy")
+    return merged.drop("_origin")
 
 
 def merge_unique_surveys(
@@ -128,7 +147,7 @@ def merge_unique_surveys(
     """`merge_surveys` for surveys with one row per key: one shuffle for all of them.
 
     The rows are stacked and gathered by key. A key that repeats within a
-    survey fails the job instead of losing a row.
+    survey fails the job instead of losing a row. A row without a key matches none.
     """
     present = {
         code: prefix_columns(df, code, [key]) for code, df in surveys.items() if df is not None

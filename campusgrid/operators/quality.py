@@ -493,13 +493,14 @@ def report_summary(report: DataFrame) -> DataFrame:
 
 
 def class_shares(df: DataFrame, column: str = "size_category") -> DataFrame:
-    """Rows and share of every class, null included."""
+    """Rows and share of every class, null included.
+
+    The whole is the sum of the classes' counts, a single number worked out from the
+    same shuffle; the table is read once.
+    """
     counts = df.groupBy(quoted(column)).agg(F.count(F.lit(1)).alias("rows"))
-    whole = df.agg(F.count(F.lit(1)).alias("_whole"))
-    shared = counts.join(F.broadcast(whole))  # one row
-    return shared.select(
-        quoted(column), "rows", F.round(F.col("rows") * 100.0 / F.col("_whole"), 6).alias("percent")
-    )
+    whole = counts.agg(F.sum("rows")).scalar()
+    return counts.select(quoted(column), "rows", F.round(F.col("rows") * 100.0 / whole, 6).alias("percent"))
 
 
 def value_range(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -543,3 +543,34 @@ CATALOGUE = _fields(
         ("params", T.MapType(T.StringType(), T.StringType())),
     ]
 )
+
+# Columns that the merged survey table needs of each survey, by the names of the
+# archives' own columns.
+SURVEY_SCHEMAS = {
+    "HD": _fields(
+        [
+            (SURVEY_KEY, T.LongType()),
+            ("INSTNM", T.StringType()),
+            ("CITY", T.StringType()),
+            ("STABBR", T.StringType()),
+            ("ZIP", T.StringType()),
+            ("OBEREG", T.IntegerType()),
+            ("SECTOR", T.IntegerType()),
+            ("ICLEVEL", T.IntegerType()),
+            ("CONTROL", T.IntegerType()),
+            ("HLOFFER", T.IntegerType()),
+            ("WEBADDR", T.StringType()),
+        ]
+    ),
+    **{
+        code: _fields(
+            [
+                (SURVEY_KEY, T.LongType()),
+                *[(name, T.LongType()) for name in SAMPLE_INTEGERS.get(code, {})],
+                *[(name, T.DoubleType()) for name in SAMPLE_RATES.get(code, {})],
+            ]
+        )
+        for code in SURVEYS
+        if code != "HD"
+    },
+}

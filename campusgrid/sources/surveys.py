@@ -3,26 +3,35 @@
 from __future__ import annotations
 
 import codecs
+import csv
 import io
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark import cloudpickle
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from campusgrid.operators.joins import merge_surveys
 from campusgrid.schema import (
+    DEFAULT_SURVEYS,
     SAMPLE_INTEGERS,
     SAMPLE_RATES,
     SAMPLE_STATES,
     SURVEY_KEY,
+    SURVEY_SCHEMAS,
     SURVEY_SEED,
     SURVEY_YEARS,
     SURVEYS,
 )
+from campusgrid.session import scratch_dir
 
 CHUNK_ROWS = 10_000
 
@@ -46,6 +55,21 @@ def survey_catalogue(spark: SparkSession) -> DataFrame:
 # --- archives --------------------------------------------------------------
 
 
+#: Columns that say where a line comes from and why it is no row (null: it is one).
+ORIGIN = T.StructType(
+    [
+        T.StructField("archive", T.StringType()),
+        T.StructField("member", T.StringType()),
+        T.StructField("line", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+TOO_LONG = "too many fields"
+#: Longest cell of an archived table, in characters.
+CELL = 1 << 30
+
+
 def _is_utf8(archive: zipfile.ZipFile, member: str) -> bool:
     decoder = codecs.getincrementaldecoder("utf-8")()
     with archive.open(member) as raw:
@@ -58,46 +82,76 @@ def _is_utf8(archive: zipfile.ZipFile, member: str) -> bool:
     return True
 
 
-def _csv_chunks(content: bytes) -> Iterator[pd.DataFrame]:
-    """Text chunks of the first CSV in a ZIP. Latin-1 reads any bytes that are not UTF-8."""
+def _members(content: bytes, names: list[str]) -> Iterator[tuple[str, int, str | None, list]]:
+    """(member, line, reason, cells) of every line of every CSV in a ZIP; a rejected line has its own fields
+    for cells. Latin-1 reads any bytes that are not UTF-8."""
+    csv.field_size_limit(CELL)
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        member = next((m for m in archive.namelist() if m.lower().endswith(".csv")), None)
-        if member is None:
-            return
-        encoding = "utf-8" if _is_utf8(archive, member) else "latin-1"
-        with archive.open(member) as raw:
-            yield from pd.read_csv(
-                raw,
-                encoding=encoding,
-                dtype=str,
-                keep_default_na=False,
-                na_values=[""],
-                on_bad_lines="skip",
-                chunksize=CHUNK_ROWS,
-            )
-
-
-def unzip_csv(archives: DataFrame, schema: T.StructType, content: str = "content") -> DataFrame:
-    """Rows of the first CSV in each archive, cast to the schema.
-
-    Archives spread over the tasks; within one, the rows stream out in chunks.
-    Lines with too many fields are skipped, absent columns are null, values that
-    do not fit their type become null.
+        for member in archive.namelist():
+            if not member.lower().endswith(".csv"):
+                continue
+            encoding = "utf-8-sig" if _is_utf8(archive, member) else "latin-1"
+            with archive.open(member) as raw:
+                lines = csv.reader(io.TextIOWrapper(raw, encoding=encoding, newline=""))
+                header = next((fields for fields in lines if fields), [])
+                places = [header.index(name) if name in header else None for name in names]
+                for fields in lines:
+                    if not fields:
+                        continue
+                    if len(fields) > len(header):
+                        yield member, lines.line_num, TOO_LONG, fields
+                        continue
+                    cells = [fields[at] if at is not None and at < len(fields) else None for at in places]
+                    yield member, lines.line_num, None, [cell or None for cell in cells]
+
+
+def read_members(archives: DataFrame, schema: T.StructType, content: str = "content", name: str | None = None) -> DataFrame:
+    """Every line of every CSV in each archive: the columns of `schema` under `row`, cast to
+    their types, and `origin`, with the reason of a line that is no row, and its text.
+
+    One pass gives both: write it, then take `rows_of` and `rejects_of`. Archives spread over
+    the tasks; within one, lines stream out in portions. Lines with too many fields are
+    rejected, missing fields and absent columns are null, values that do not fit their type
+    become null. An archive that can't be read fails the job. `name`: the column that
+    names an archive.
     """
     names = schema.names
-    text = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    text = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    arrow = pa.schema([*[(f"c{i}", pa.string()) for i in range(len(names))], ("archive", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("reason", pa.string()), ("text", pa.string())])
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for blob in batch[content]:
-                for chunk in _csv_chunks(bytes(blob)):
-                    chunk = chunk.reindex(columns=names)
-                    yield chunk.astype(object).where(chunk.notna(), None)
-
-    table = archives.select(content).mapInPandas(rows, text)
-    return table.select(
-        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+            for blob, title in zip(batch.column(0), batch.column(1).to_pylist()):
+                found: list[tuple] = []
+                for member, line, reason, cells in _members(blob.as_py(), names):
+                    own = cells if reason is None else [None] * len(names)
+                    rejected = None if reason is None else ",".join(cells)
+                    found.append((*own, title, member, line, reason, rejected))
+                    if len(found) == CHUNK_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+                        found.clear()
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)], schema=arrow)
+
+    title = F.col(name).cast("string") if name else F.lit(None).cast("string")
+    source = archives.select(F.col(content), title.alias("title"))
+    found = source.mapInArrow(lines, T.StructType([*text.fields, *ORIGIN.fields]))
+    row = F.struct(*[F.col(f"c{i}").try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+    return found.select(row.alias("row"), F.struct(*ORIGIN.names).alias("origin"))
+
+
+def rows_of(members: DataFrame) -> DataFrame:
+    return members.filter("origin.reason IS NULL").select("row.*")
+
+
+def rejects_of(members: DataFrame) -> DataFrame:
+    """(archive, member, line, reason, text) of the lines that are no rows."""
+    return members.filter("origin.reason IS NOT NULL").select("origin.*")
+
+
+def unzip_csv(archives: DataFrame, schema: T.StructType, content: str = "content") -> DataFrame:
+    """Rows of all CSVs in each archive, as `read_members` reads them."""
+    return rows_of(read_members(archives, schema, content))
 
 
 def read_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -106,6 +160,79 @@ def read_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return unzip_csv(files, schema)
 
 
+# --- several surveys at once -------------------------------------------------
+
+LOG = "code string, year int, archives bigint, rows bigint, rejected bigint, status string, error string"
+
+
+@dataclass
+class Loaded:
+    """What `load_comprehensive` gives: the merged table (None if no survey was read), one log
+    row per survey, the rejected lines with their survey."""
+
+    merged: DataFrame | None
+    log: DataFrame
+    rejects: DataFrame
+
+
+def archive_names(code: str, year: int) -> list[str]:
+    """Patterns of the names an archive of a survey may have: with and without an underscore,
+    with each suffix that the catalogue knows for the survey, whole or in numbered parts."""
+    suffixes = ("", *SURVEYS[code][3])
+    return [f"{code}{suffix}{mark}{year}{part}.zip" for suffix in suffixes for mark in ("", "_") for part in ("", "-*")]
+
+
+def load_comprehensive(
+    spark: SparkSession,
+    folder: str,
+    year: int = max(SURVEY_YEARS),
+    schemas: Mapping[str, T.StructType] | None = None,
+    surveys: Sequence[str] = DEFAULT_SURVEYS,
+) -> Loaded:
+    """Reads the archives of several surveys in `folder` and merges them on the key.
+
+    A survey is read with its own schema (`schemas`, else the library's), whole and by itself,
+    into a table of the scratch folder. One that has no archive, can't be read or has no rows is left out and logged with
+    the reason; the others go on. Names of surveys that the catalogue lacks are an error.
+    The merged columns carry the survey's code in front. Without any survey `merged` is None.
+    """
+    schemas = SURVEY_SCHEMAS | dict(schemas or {})
+    codes = [code.upper() for code in surveys]
+    if unknown := [code for code in codes if code not in SURVEYS]:
+        raise ValueError(f"unknown surveys: {unknown}; known: {sorted(SURVEYS)}")
+    found: dict[str, DataFrame | None] = {}
+    log, rejects = [], []
+    for code in codes:
+        archives = rows = rejected = 0
+        status, error = "loaded", None
+        try:
+            files = spark.read.format("binaryFile").option("pathGlobFilter", "{" + ",".join(archive_names(code, year)) + "}").load(folder)
+            path = scratch_dir(spark)
+            read_members(files, schemas[code], name="path").write.parquet(path)
+            members = spark.read.parquet(path)
+            counts = members.agg(
+                F.count_if(F.col("origin.reason").isNull()).alias("rows"),
+                F.count("origin.reason").alias("rejected"),
+                F.count_distinct("origin.archive").alias("archives"),
+            ).first()
+            archives, rows, rejected = counts["archives"], counts["rows"], counts["rejected"]
+            if rejected:
+                rejects.append(rejects_of(members).select(F.lit(code).alias("code"), "*"))
+            if rows:
+                found[code] = rows_of(members)
+            else:
+                status, error = "skipped", "no rows"
+        except (PySparkException, Py4JError) as problem:
+            status, error = "failed", str(problem)[:1000]
+        log.append((code, year, archives, rows, rejected, status, error))
+    lines = T.StructType([T.StructField("code", T.StringType()), *ORIGIN.fields])
+    return Loaded(
+        merge_surveys(found) if found else None,
+        spark.createDataFrame(log, LOG),
+        reduce(DataFrame.unionByName, rejects) if rejects else spark.createDataFrame([], lines),
+    )
+
+
 # --- generated rows --------------------------------------------------------
 
 

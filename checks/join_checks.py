@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from campusgrid.operators import joins as J
+from campusgrid.operators.commits import Files
 from campusgrid.schema import REGION_LABELS, SAMPLE_INTEGERS, SAMPLE_STATES, SURVEYS
+from campusgrid.session import scratch_dir
 from campusgrid.sources import surveys as V
 from checks.clean_checks import labels
 from checks.registry import check
@@ -165,27 +167,73 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _zipped(batches):
-    """One archive per batch of rows."""
+    """One archive per batch of rows, dealt over two tables, some lines too long."""
     for batch in batches:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr("readme.txt", "rows of one batch")
-            archive.writestr("DATA.CSV", batch.to_csv(index=False).encode("latin-1"))
+            for k, member in enumerate(("DATA.CSV", "more/second.csv")):
+                own = batch[batch["c_custkey"] % 2 == k]
+                wrong = "".join(f"{key},too,many,fields,{k}\n" for key in own["c_custkey"] if key % 50 == k)
+                archive.writestr(member, (own.to_csv(index=False) + wrong).encode("latin-1"))
         yield pd.DataFrame({"content": [buffer.getvalue()]})
 
 
 @check(
     "s11_zip_csv",
-    """SELECT c_custkey, 'é ' || c_name AS c_name, c_acctbal, CAST(c_nationkey AS INTEGER)
-      AS c_nationkey FROM customer""",
+    f"""SELECT c_custkey, 'é ' || c_name AS c_name, c_acctbal, CAST(c_nationkey AS INTEGER)
+      AS c_nationkey, NULL AS member, NULL AS reason, NULL AS text FROM customer
+      UNION ALL SELECT NULL, NULL, NULL, NULL,
+        CASE WHEN c_custkey % 2 = 0 THEN 'DATA.CSV' ELSE 'more/second.csv' END, '{V.TOO_LONG}',
+        c_custkey || ',too,many,fields,' || c_custkey % 2 FROM customer WHERE c_custkey % 50 = c_custkey % 2""",
 )
 def _(spark, sf_dir):
+    """Both outputs of one pass under each other: the rows, and the lines that are none."""
     rows = table(spark, sf_dir, "customer").select(
         "c_custkey", F.concat(F.lit("é "), "c_name").alias("c_name"), "c_acctbal", "c_nationkey"
     )
     archives = rows.mapInPandas(_zipped, "content binary")
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    return V.unzip_csv(archives, schema)
+    path = scratch_dir(spark)
+    V.read_members(archives, schema).write.parquet(path)
+    members = spark.read.parquet(path)
+    rejects = V.rejects_of(members).select("member", "reason", "text")
+    return V.rows_of(members).unionByName(rejects, allowMissingColumns=True)
+
+
+def _packed(batches):
+    """One archive per batch of rows."""
+    for batch in batches:
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("rows.csv", batch.to_csv(index=False))
+        yield pd.DataFrame({"content": [buffer.getvalue()]})
+
+
+@check(
+    "j1_comprehensive",
+    f"""WITH {SURVEYS_SQL}, log AS (
+      SELECT 'HD' AS code, count(*) AS rows FROM hd UNION ALL SELECT 'IC', count(*) FROM ic
+      UNION ALL SELECT 'EFFY', count(*) FROM effy UNION ALL SELECT 'SFA', count(*) FROM sfa
+      UNION ALL SELECT 'GR', 0)
+      SELECT UNITID, HD_INSTNM, HD_STABBR, IC_TUITION2, EFFY_EFYTOTLT, SFA_SCUGRAD, NULL AS code,
+        NULL AS rows, NULL AS status
+      FROM hd FULL JOIN ic USING (UNITID) FULL JOIN effy USING (UNITID) FULL JOIN sfa USING (UNITID)
+      UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, code, rows,
+        CASE WHEN rows = 0 THEN 'skipped' ELSE 'loaded' END FROM log""",
+)
+def _(spark, sf_dir):
+    """The merged table, and the log under it. There is no archive of survey GR."""
+    folder = scratch_dir(spark)
+    files, schemas = Files(spark, folder), {}
+    for code, df in surveys(spark, sf_dir).items():
+        schemas[code] = df.schema
+        archives = df.mapInPandas(_packed, "content binary")
+        for k, row in enumerate(archives.toLocalIterator()):
+            files.write(f"{folder}/{code}2023-{k:05d}.zip", bytes(row["content"]))
+    loaded = V.load_comprehensive(spark, folder, 2023, schemas, ("HD", "IC", "EFFY", "SFA", "GR"))
+    log = loaded.log.select("code", "rows", "status")
+    return loaded.merged.unionByName(log, allowMissingColumns=True)
 
 
 # --- generated rows --------------------------------------------------------
