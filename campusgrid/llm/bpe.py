@@ -26,10 +26,10 @@ from pyspark.sql import types as T
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes that a task's caches hold, together and roughly, and pairs of tokens it remembers.
 #: Results don't depend on them.
-CACHE_BYTES = 60_000_000
+CACHE_BYTES = 90_000_000
 PAIR_ENTRIES = 250_000
 #: Bytes that Python needs for an entry besides its contents.
-ENTRY_BYTES = 260
+ENTRY_BYTES = 180
 #: Bytes of text after which a task sends its results on.
 PORTION_BYTES = 4_000_000
 #: Characters of a long text that are coded at a time.
@@ -183,7 +183,7 @@ class _Cache(dict):
         value = self._older.get(key, self)  # any value but the cache itself, None too
         if value is self:
             value = self._make(key)
-        self._held += ENTRY_BYTES + len(key) + (sum(map(len, value)) if value else 0)
+        self._held += ENTRY_BYTES + len(key) + (len(value) if value else 0)
         if self._held > self._most:
             self._older = dict(self)
             self.clear()
@@ -203,9 +203,10 @@ class Coder:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
         self._cut = regex.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
-        self._pieces = _Cache(lambda piece: self._record(self._piece(piece)), CACHE_BYTES // 4)
+        self._pieces = _Cache(lambda piece: self._text(self._piece(piece)), CACHE_BYTES // 12)
         self._heads = _Cache(self._word, CACHE_BYTES // 12)
-        self._tails = _Cache(lambda word: self._word(word, " "), CACHE_BYTES * 2 // 3)
+        self._tails = _Cache(lambda word: self._word(word, " "), CACHE_BYTES * 5 // 6)
+        self._bytes = {str(rank).encode(): token for token, rank in ranks.items()}
 
     def _piece(self, piece: str) -> list[int]:
         data = piece.encode()
@@ -213,20 +214,20 @@ class Coder:
         return PrefixEncoder(self.vocabulary, data).ids() if own is None else [own]
 
     @staticmethod
-    def _record(ids: list[int]) -> tuple[bytes, bytes]:
-        """Ids as decimal text and as 32-bit numbers."""
-        return " ".join(map(str, ids)).encode(), array("i", ids).tobytes()
+    def _text(ids: list[int]) -> bytes:
+        return " ".join(map(str, ids)).encode()
 
-    def _joined(self, pieces: list[str]) -> tuple[bytes, bytes]:
-        records = [self._pieces[piece] for piece in pieces]
-        return b" ".join([text for text, _ in records]), b"".join([ids for _, ids in records])
+    def _joined(self, pieces: list[str]) -> bytes:
+        # A blank and letters are a word that others are likely to hold too.
+        tails, others = self._tails, self._pieces
+        return b" ".join([tails[p[1:]] if p[0] == " " and p[1:].isalpha() else others[p] for p in pieces])
 
-    def _word(self, word: str, blank: str = "") -> tuple[bytes, bytes] | None:
+    def _word(self, word: str, blank: str = "") -> bytes | None:
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         pieces = self.pattern.findall(blank + word)
         # A word of one piece is remembered as a word already.
-        return self._record(self._piece(pieces[0])) if len(pieces) == 1 else self._joined(pieces)
+        return self._text(self._piece(pieces[0])) if len(pieces) == 1 else self._joined(pieces)
 
     def _sections(self, text: str) -> Iterator[str]:
         """The text cut at blanks that begin a piece; each section but the first begins with its blank."""
@@ -239,24 +240,20 @@ class Coder:
             begin = cut.start()
         yield text[begin:] if begin else text
 
-    def coded(self, text: str) -> Iterator[tuple[bytes, bytes]]:
-        """Ids as decimal text and as 32-bit numbers, a section of the text at a time."""
+    def coded(self, text: str) -> Iterator[bytes]:
+        """The ids as decimal text, a section of the text at a time."""
         for section in self._sections(text):
             words = section.split(" ")
             if section[0] == " " and section is not text:
-                records = list(map(self._tails.__getitem__, words[1:]))
+                texts = list(map(self._tails.__getitem__, words[1:]))
             else:
-                records = [self._heads[words[0]]]
-                records += map(self._tails.__getitem__, words[1:])
-            if None in records:
-                yield self._joined(self.pattern.findall(section))
-            else:
-                texts, ids = zip(*records)
-                yield b" ".join(texts), b"".join(ids)
+                texts = [self._heads[words[0]]]
+                texts += map(self._tails.__getitem__, words[1:])
+            yield self._joined(self.pattern.findall(section)) if None in texts else b" ".join(texts)
 
-    def decode(self, ids) -> bytes:
-        tokens = self.vocabulary.tokens
-        return b"".join([tokens[i] for i in ids])
+    def decode(self, ids: bytes) -> bytes:
+        """The bytes of ids in decimal text."""
+        return b"".join(map(self._bytes.__getitem__, ids.split()))
 
 
 OUTPUTS = {
@@ -291,7 +288,7 @@ def encode(
     pattern: str,
     outputs: tuple[str, ...] = ("n_tokens", "ids"),
     keep: tuple[str, ...] = ("doc_id",),
-    text: str = "text",
+    column: str = "text",
 ) -> DataFrame:
     """The `keep` columns of every row and, of its whole text, the asked outputs:
     n_tokens, ids, decoded (the bytes the ids decode to) and the digests ids_sha256
@@ -317,27 +314,27 @@ def encode(
                 content = value.as_py()
                 n, decoded = 0, []
                 digests = {"ids_sha256": hashlib.sha256(), "decoded_sha256": hashlib.sha256()}
-                for ids_text, packed in coder.coded(content) if content else ():
-                    if n and ids_text:
+                for text in coder.coded(content) if content else ():
+                    if n and text:
                         digests["ids_sha256"].update(b" ")
-                    n += len(packed) // 4
-                    digests["ids_sha256"].update(ids_text)
+                    n += text.count(b" ") + 1
+                    digests["ids_sha256"].update(text)
                     if "ids" in outputs:
-                        ids.frombytes(packed)
+                        ids.extend(map(int, text.split()))
                     if decodes:
-                        part = coder.decode(np.frombuffer(packed, dtype=np.int32).tolist())
+                        part = coder.decode(text)
                         digests["decoded_sha256"].update(part)
                         if "decoded" in outputs:
                             decoded.append(part)
                 ends.append(len(ids))
-                for name, column in rows.items():
+                for name, cells in rows.items():
                     if name == "n_tokens":
-                        column.append(n)
+                        cells.append(n)
                     elif name == "decoded":
-                        column.append(b"".join(decoded))
+                        cells.append(b"".join(decoded))
                     else:
-                        column.append(digests[name].hexdigest())
-            made_columns = {name: pa.array(column, _ARROW[name]) for name, column in rows.items()}
+                        cells.append(digests[name].hexdigest())
+            made_columns = {name: pa.array(cells, _ARROW[name]) for name, cells in rows.items()}
             if "ids" in outputs:
                 made_columns["ids"] = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.array(ids, dtype=np.int32))
@@ -345,7 +342,7 @@ def encode(
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(kept + [made_columns[c] for c in outputs], names=[*keep, *outputs])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{column}`").alias("_text"))
     schema = T.StructType(
         [source.schema[c] for c in keep] + [T.StructField(name, OUTPUTS[name]) for name in outputs]
     )
