@@ -11,7 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,7 @@ from campusgrid.operators.commits import CommitLog, first_free
 from campusgrid.operators.joins import skew_join
 from campusgrid.schema import CATALOGUE
 from campusgrid.sources import codec
+from campusgrid.sources.records import read_records, read_table
 from campusgrid.sources.sinks import stamp
 
 DATASET = ("source", "dataset")
@@ -167,6 +170,71 @@ def layer_report(spark: SparkSession, layers: Mapping[str, DataFrame]) -> DataFr
     return out
 
 
+# --- layers of files --------------------------------------------------------
+
+#: Stamps in names of written tables: those of raw and staged ones, and of processed ones.
+NAME_STAMPS = (r"(\d{8}_\d{6})", r"(\d{4}_\d{2}_\d{2}_\d{6})")
+
+
+def name_stamp(name: Column) -> Column:
+    """The stamp in the name of a written table as timestamp, null if it has none."""
+    compact, dashed = [F.regexp_extract(name, pattern, 1) for pattern in NAME_STAMPS]
+    return F.coalesce(as_stamp(compact), F.try_to_timestamp(dashed, F.lit("yyyy_MM_dd_HHmmss")))
+
+
+def layer_files(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:
+    """The tables in each layer's folder (layer -> folder), from a listing of the files:
+    (layer, name, at, files, bytes).
+
+    A table is what lies right in the folder: a file, or a folder of files. Only names and
+    sizes are read. Hidden files don't count; a layer without files has no rows.
+    """
+    parts = []
+    for layer, folder in layers.items():
+        root = folder.rstrip("/")
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        # The listing gives whole addresses; what is below the layer's last folder counts.
+        below = F.substring_index(F.col("path"), f"/{root.rsplit('/', 1)[-1]}/", -1)
+        parts.append(files.select(F.lit(layer).alias("layer"), F.substring_index(below, "/", 1).alias("name"), "length"))
+    if not parts:
+        return spark.createDataFrame([], "layer string, name string, at timestamp, files bigint, bytes bigint")
+    tables = reduce(DataFrame.unionByName, parts).groupBy("layer", "name")
+    tables = tables.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return tables.select("layer", "name", name_stamp(F.col("name")).alias("at"), "files", "bytes")
+
+
+def latest_files(spark: SparkSession, layers: Mapping[str, str], ending: str = "") -> DataFrame:
+    """The newest table of each layer by the stamp in its name, ties by name. Names without
+    a stamp don't count, nor those with another ending."""
+    stamped = layer_files(spark, layers).filter(F.col("at").isNotNull() & F.col("name").endswith(ending))
+    newest_one = F.max_by(F.struct("name", "at", "files", "bytes"), F.struct("at", "name")).alias("newest")
+    return stamped.groupBy("layer").agg(newest_one).select("layer", "newest.*")
+
+
+def latest_layer_report(spark: SparkSession, layers: Mapping[str, str], endings: Mapping[str, str] | None = None) -> DataFrame:
+    """The newest table of each layer with its rows and columns: (layer, name, at, rows, columns).
+
+    layers: layer -> folder. endings: layer -> the ending its tables have (`.json`,
+    `.csv`, `.parquet`); without one any of these counts. The driver learns one name per layer.
+    """
+    endings = endings or {}
+    parts = []
+    for layer, folder in layers.items():
+        for row in latest_files(spark, {layer: folder}, endings.get(layer, "")).collect():
+            path = f"{folder.rstrip('/')}/{row['name']}"
+            df = read_records(spark, path) if path.endswith(".json") else read_table(spark, path)
+            one = layer_report(spark, {layer: df})
+            parts.append(one.select("layer", F.lit(row["name"]).alias("name"), name_stamp(F.lit(row["name"])).alias("at"), "rows", "columns"))
+    if not parts:
+        return spark.createDataFrame([], "layer string, name string, at timestamp, rows bigint, columns int")
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- the store -------------------------------------------------------------
 
 #: What the log holds beside the catalogue's columns: where the data lies below the root,

@@ -13,7 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from campusgrid.functions.text import quoted
-from campusgrid.schema import DEFAULT_GROUPS, FIELD_GROUPS, LARGE_ENROLLMENT, PRESETS
+from campusgrid.schema import (
+    DEFAULT_GROUPS,
+    EXTENDED_FIELD_TO_COLUMN,
+    EXTENDED_INTEGER_COLUMNS,
+    FIELD_GROUPS,
+    FIELD_TO_COLUMN,
+    INTEGER_COLUMNS,
+    LARGE_ENROLLMENT,
+    PRESETS,
+    STRING_COLUMNS,
+)
 
 # Filter argument -> record field.
 FILTER_FIELDS = {
@@ -35,11 +45,25 @@ def group_fields(
     return sorted(wanted or {f for g in DEFAULT_GROUPS for f in known[g]})
 
 
+def field_type(field: str) -> str:
+    """The type of a record field: that of its column, else a number, as all fields of the
+    groups beyond the columns are."""
+    column = {**EXTENDED_FIELD_TO_COLUMN, **FIELD_TO_COLUMN}.get(field)
+    if column in INTEGER_COLUMNS or column in EXTENDED_INTEGER_COLUMNS:
+        return "bigint"
+    return "string" if column in STRING_COLUMNS or not field.startswith("latest.") else "double"
+
+
 def select_fields(
     df: DataFrame, groups: Sequence[str] = (), fields: Sequence[str] = ()
 ) -> DataFrame:
-    """The columns of the groups that the table has."""
-    return df.select(*[quoted(f) for f in group_fields(groups, fields) if f in df.columns])
+    """The columns of the groups. One that the table lacks is null, of the field's type."""
+    return df.select(
+        *[
+            quoted(f) if f in df.columns else F.lit(None).cast(field_type(f)).alias(f)
+            for f in group_fields(groups, fields)
+        ]
+    )
 
 
 def row_filter(

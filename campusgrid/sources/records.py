@@ -201,8 +201,42 @@ def flatten_record(
     return df.select(*out)
 
 
-def normalize(df: DataFrame, separator: str = ".") -> DataFrame:
-    """Every nested struct field as its own column, named by its path. Arrays stay."""
+def normalize(df: DataFrame, separator: str = ".", explode: Sequence[str] = ()) -> DataFrame:
+    """Every nested struct field as its own column, named by its path.
+
+    explode: paths of arrays, outer before inner ones. Each of their elements becomes a
+    row, with its place (from 0) in the column `path` + separator + `position`; a row whose
+    array is null or empty stays, with nulls. Structs inside become columns below the
+    array's path. Other arrays stay as they are. Two arrays side by side multiply their
+    elements.
+    """
+    for path in explode:
+        df = _exploded(normalize(df, separator), path, separator)
+    return _normalized(df, separator)
+
+
+def _exploded(df: DataFrame, path: str, separator: str) -> DataFrame:
+    if path not in df.columns or not isinstance(df.schema[path].dataType, T.ArrayType):
+        raise ValueError(f"no array at {path}")
+    position = f"{path}{separator}position"
+    if position in df.columns:
+        raise ValueError(f"paths share a name: {[position]}")
+    others = [quoted(c) for c in df.columns if c != path]
+    return df.select(*others, F.posexplode_outer(quoted(path)).alias(position, path))
+
+
+def flatten_lists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lists of lists in the named columns become one list each, one level down.
+
+    Inner null lists count as empty; a null list stays null.
+    """
+    none = {c: df.schema[c].dataType for c in columns}
+    if wrong := [c for c, t in none.items() if not (isinstance(t, T.ArrayType) and isinstance(t.elementType, T.ArrayType))]:
+        raise ValueError(f"no lists of lists: {wrong}")
+    return df.withColumns({c: F.flatten(F.filter(quoted(c), lambda inner: inner.isNotNull())) for c in columns})
+
+
+def _normalized(df: DataFrame, separator: str) -> DataFrame:
 
     def leaves(struct: T.StructType, names: list[str], col: Column | None):
         for field in struct.fields:

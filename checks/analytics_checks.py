@@ -33,7 +33,11 @@ SIZE_STATISTICS = f"""
   FROM inst WHERE size_category IS NOT NULL GROUP BY size_category"""
 
 
-@check("a1_size_statistics", inst(SIZE_STATISTICS))
+#: By size, from large to small, anything else last.
+BY_SIZE = (f"{SIZE_POSITION} ELSE 4 END", ("size_category",))
+
+
+@check("a1_size_statistics", inst(SIZE_STATISTICS), BY_SIZE)
 def _(spark, sf_dir):
     return A.size_statistics(institutions(spark, sf_dir, *SIZED))
 
@@ -94,6 +98,7 @@ def _(spark, sf_dir):
         {avg("completion_rate_percentage", 6)} AS avg_completion_rate_pct,
         {avg("admission_rate_percentage", 6)} AS avg_admission_rate_pct
       FROM inst GROUP BY size_category"""),
+    BY_SIZE,
 )
 def _(spark, sf_dir):
     df = A.size_distribution(institutions(spark, sf_dir, *SIZED, *PERCENT))
@@ -269,6 +274,7 @@ def _(spark, sf_dir):
         {trunc("earnings_10yr_median")} AS avg_10yr_earnings,
         CAST({SIZE_POSITION} ELSE 4 END AS INTEGER) AS display_order
       FROM inst GROUP BY inst.size_category"""),
+    ("display_order", ("size_category", "display_order")),
 )
 def _(spark, sf_dir):
     return A.size_category_analysis(
@@ -325,6 +331,11 @@ def _(spark, sf_dir):
           WHEN admission_rate >= 0.70 AND completion_rate < 0.40 THEN 'Open + Low Completion'
           ELSE 'Average' END AS admission_completion_profile
       FROM inst WHERE admission_rate IS NOT NULL AND completion_rate IS NOT NULL"""),
+    (
+        """CASE admission_completion_profile WHEN 'Selective + High Completion' THEN 1
+          WHEN 'Open + High Completion' THEN 2 ELSE 3 END, completion_rate_percentage DESC""",
+        ("completion_rate_percentage",),
+    ),
 )
 def _(spark, sf_dir):
     return A.admission_completion_profile(

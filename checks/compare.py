@@ -11,7 +11,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from checks.registry import ORACLES, QUERIES
+from checks.registry import ORACLES, ORDERS, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -62,6 +62,13 @@ def difference(spark: SparkSession, sf_dir: str, name: str) -> tuple[str | None,
     want_raw = result.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}", len(got_raw)
+    if name in ORDERS:
+        by, shown = ORDERS[name]
+        listed = connect(sf_dir).execute(f"SELECT {', '.join(shown)} FROM ({ORACLES[name]}) ORDER BY {by}").fetchall()
+        for place, (row, sequence) in enumerate(zip(got_raw, listed)):
+            own = [_plain(row[c]) for c in shown]
+            if own != [_plain(v) for v in sequence]:
+                return f"row {place} in order: {own} != {sequence}", len(got_raw)
     got, want = _rows(df.columns, got_raw), _rows(names, want_raw)
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}", len(got_raw)

@@ -17,7 +17,8 @@ from checks.quality_checks import raw
 from checks.registry import check
 from checks.sql import inst
 from checks.tables import INSTRUCTIONS_SQL, ODD_SQL, RAW_SQL, api_records, compared, instructions, odd_records, raw_records, table
-from campusgrid.functions.text import quoted
+from campusgrid.functions.text import quoted, without_prefixes
+from campusgrid.schema import PRESETS
 
 # --- pages and record files ------------------------------------------------
 
@@ -185,6 +186,46 @@ def _(spark, sf_dir):
     return R.short_names(flat)
 
 
+@check(
+    "s5_arrays",
+    """SELECT o_orderkey AS id, o_orderstatus AS status, CAST(place AS INTEGER) AS lines_position,
+      l_partkey AS lines_part, CAST(k AS INTEGER) AS lines_tags_position,
+      CASE WHEN l_partkey IS NOT NULL THEN ['a', 'b'][k + 1] || l_linenumber END AS lines_tags
+      FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS place,
+          unnest([0, 1]) AS k FROM lineitem) l ON l_orderkey = o_orderkey""",
+)
+def _(spark, sf_dir):
+    """Orders with an array of their lines, each with an array of tags, parsed from JSON."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        F.struct(
+            F.col("l_linenumber").alias("n"),
+            F.col("l_partkey").alias("part"),
+            F.array(*[F.concat(F.lit(t), F.col("l_linenumber").cast("string")) for t in "ab"]).alias("tags"),
+        ).alias("line"),
+    )
+    packed = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    orders = table(spark, sf_dir, "orders").join(packed, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    text = F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), "lines"))
+    schema = "id bigint, status string, lines array<struct<n: int, part: bigint, tags: array<string>>>"
+    parsed = orders.select(F.from_json(text, schema).alias("r")).select("r.*")
+    flat = R.normalize(parsed, "_", explode=("lines", "lines_tags"))
+    return flat.drop("lines_n")
+
+
+@check(
+    "f_flatten",
+    """SELECT l_orderkey AS id, flatten(list([l_partkey, l_suppkey] ORDER BY l_linenumber, l_partkey, l_suppkey)) AS parts
+      FROM lineitem GROUP BY l_orderkey""",
+)
+def _(spark, sf_dir):
+    """Per order a list of one list per line, flattened one level."""
+    pair = F.struct("l_linenumber", F.array("l_partkey", "l_suppkey").alias("pair"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id"))
+    nested = lines.agg(F.array_sort(F.collect_list(pair))["pair"].alias("parts"))
+    return R.flatten_lists(nested, ["parts"])
+
+
 @check(
     "s4_json_path",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
@@ -203,11 +244,32 @@ def _(spark, sf_dir):
 
 # --- column groups, filters, presets ---------------------------------------
 
-BASIC = """school_id AS id, school_name AS name, school_state AS state, ownership, region_id,
-  locale"""
+#: Columns of the institutions that the flat records hold, by field.
+HELD = {
+    "id": "school_id",
+    "school.name": "school_name",
+    "school.state": "school_state",
+    "school.ownership": "ownership",
+    "school.locale": "locale",
+    "school.region_id": "region_id",
+    "latest.student.size": "student_size",
+    "latest.admissions.admission_rate.overall": "admission_rate",
+    "latest.completion.rate_suppressed.overall": "completion_rate",
+    "latest.cost.tuition.in_state": "tuition_in_state",
+    "latest.aid.median_debt.completers.overall": "median_debt",
+}
+SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def fields_sql(*groups: str) -> str:
+    """The fields of some groups; those the records lack are typed nulls."""
+    return ", ".join(
+        f'{HELD.get(f) or f"CAST(NULL AS {SQL_TYPES[P.field_type(f)]})"} AS "{without_prefixes(f)}"'
+        for f in P.group_fields(groups)
+    )
 
 
-@check("s6_field_groups", inst(f"SELECT {BASIC}, student_size FROM inst"))
+@check("s6_field_groups", inst(f"SELECT {fields_sql()} FROM inst"))
 def _(spark, sf_dir):
     return R.short_names(P.select_fields(api_records(spark, sf_dir)))
 
@@ -231,36 +293,26 @@ def _(spark, sf_dir):
     return R.short_names(rows.select("id", quoted("latest.student.size")))
 
 
-OUTCOMES = """admission_rate AS admissions_admission_rate_overall,
-  completion_rate AS completion_rate_suppressed_overall"""
-COSTS = """tuition_in_state AS cost_tuition_in_state,
-  median_debt AS aid_median_debt_completers_overall"""
-
+def _preset(name: str, where: str, **filters) -> None:
+    groups, _ = PRESETS[name]
 
-@check(
-    "s8_public_universities",
-    inst(f"SELECT {BASIC}, student_size, {OUTCOMES}, {COSTS} FROM inst WHERE ownership = 1"),
-)
-def _(spark, sf_dir):
-    return R.short_names(P.preset(api_records(spark, sf_dir), "public_universities"))
+    @check(f"s8_{name}", inst(f"SELECT {fields_sql(*groups)} FROM inst WHERE {where}"))
+    def _(spark, sf_dir):
+        return R.short_names(P.preset(api_records(spark, sf_dir), name, **filters))
 
 
-@check(
-    "s8_by_state",
-    inst(f"SELECT {BASIC}, student_size FROM inst WHERE school_state = 'NATION_4'"),
-)
-def _(spark, sf_dir):
-    return R.short_names(P.preset(api_records(spark, sf_dir), "by_state", state="NATION_4"))
-
-
-@check("s8_outcomes_and_earnings", inst(f"SELECT {BASIC}, {OUTCOMES} FROM inst"))
-def _(spark, sf_dir):
-    return R.short_names(P.preset(api_records(spark, sf_dir), "outcomes_and_earnings"))
+_preset("all_institutions", "true")
+_preset("public_universities", "ownership = 1")
+_preset("private_nonprofit", "ownership = 2")
+_preset("by_state", "school_state = 'NATION_4'", state="NATION_4")
+_preset("enrollment_demographics", "true")
+_preset("costs_and_aid", "true")
+_preset("outcomes_and_earnings", "true")
 
 
 @check(
     "s8_large_institutions",
-    inst(f"SELECT {BASIC}, student_size FROM inst WHERE student_size >= 10000"),
+    inst(f"SELECT {fields_sql()} FROM inst WHERE student_size >= 10000"),
 )
 def _(spark, sf_dir):
     return R.short_names(P.large_institutions(api_records(spark, sf_dir)))

@@ -365,3 +365,17 @@ MEASURED = ("admission_rate_percentage", "completion_rate_percentage")
 def _(spark, sf_dir):
     df = Q.value_range(institutions(spark, sf_dir, *MEASURED), MEASURED)
     return df.withColumn("mean", F.round("mean", 6))
+
+
+@check(
+    "v1_required_columns",
+    raw("""SELECT school_id, school_state FROM raw UNION ALL
+      SELECT NULL, 'missing: school_nation, school_planet'"""),
+)
+def _(spark, sf_dir):
+    """A table that has the required columns passes as it is; the error names those one lacks."""
+    rows = raw_records(spark, sf_dir)
+    passed = Q.require_columns(rows).select("school_id", "school_state")
+    lacking = Q.missing_columns(rows, [*Q.REQUIRED_COLUMNS, "school_nation", "school_planet"])
+    note = F.lit(f"missing: {', '.join(lacking)}").alias("school_state")
+    return passed.unionByName(rows.agg(F.min("school_id")).select(F.lit(None).cast("bigint").alias("school_id"), note))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from campusgrid.operators import snapshots as S
 from campusgrid.session import scratch_dir
+from campusgrid.sources import sinks as K
 from checks.registry import check
 from checks.tables import CATALOGUE_SQL, ODD_SQL, RAW_SQL, catalogue, compared, odd_records, table
 
@@ -216,3 +217,36 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return S.summary(catalogue(spark, sf_dir))
+
+
+@check(
+    "f_stamp",
+    cat("""SELECT version, strftime(strptime(left(version, 15), '%Y%m%d_%H%M%S'), '%Y-%m-%d %H:%M:%S') AS at,
+      CAST(NULL AS VARCHAR) AS none FROM catalogue"""),
+)
+def _(spark, sf_dir):
+    at = [F.date_format(S.as_stamp(c), "yyyy-MM-dd HH:mm:ss") for c in (F.col("version"), F.col("dataset"))]
+    return catalogue(spark, sf_dir).select("version", at[0].alias("at"), at[1].alias("none"))
+
+
+@check(
+    "v15_latest_layers",
+    """SELECT 'raw' AS layer, 'orders_20240301_120000.json' AS name, '2024-03-01 12:00:00' AS at,
+      count(*) AS rows, 6 AS columns FROM orders WHERE o_orderkey % 2 = 0
+      UNION ALL SELECT 'staging', 'orders_20240102_010000.csv', '2024-01-02 01:00:00', count(*), 2 FROM orders
+      UNION ALL SELECT 'processed', 'clean_2024_03_02_000001.csv', '2024-03-02 00:00:01', count(*), 5 FROM customer""",
+)
+def _(spark, sf_dir):
+    """Each layer holds an older table too, the raw one also a name that sorts behind all others."""
+    root = scratch_dir(spark)
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    layers = {layer: f"{root}/{layer}" for layer in ("raw", "staging", "processed")}
+    K.write_raw_json(orders, layers["raw"], "orders", OLD)
+    K.write_raw_json(orders.filter("o_orderkey % 2 = 0"), layers["raw"], "orders", LAST)
+    K.write_raw_json(orders, layers["raw"], "second", OLD)
+    K.write_staging(orders.select("o_orderkey", "o_orderdate"), layers["staging"], "orders", NEW)
+    K.write_staging(orders, layers["staging"], "orders", OLD)
+    K.write_processed(customer, layers["processed"], "clean", "2024_03_02_000001")
+    K.write_processed(customer.limit(1), layers["processed"], "clean", "2024_03_01_235959")
+    report = S.latest_layer_report(spark, layers, {"staging": ".csv"})
+    return report.withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))

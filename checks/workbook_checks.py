@@ -107,6 +107,21 @@ def _(spark, sf_dir):
     )
 
 
+@check(
+    "b12_names_by_argument",
+    inst("""
+      SELECT i.school_name, i.size_category, sum(i.student_size) AS students, t.name_total
+      FROM inst i JOIN (SELECT school_name, sum(student_size) AS name_total FROM inst
+          GROUP BY school_name ORDER BY name_total DESC, school_name LIMIT 20) t
+        ON i.school_name IS NOT DISTINCT FROM t.school_name
+      GROUP BY i.school_name, i.size_category, t.name_total"""),
+)
+def _(spark, sf_dir):
+    return W.largest_names(
+        institutions(spark, sf_dir, "school_name", "student_size", "size_category"), n=20
+    )
+
+
 SOLD = ("Group", "Qty", "State or Province", "Postal Code")
 
 

@@ -243,3 +243,36 @@ def test_broken_records_fail_the_page(spark, page):
     pages = spark.createDataFrame([(page,)], "value string")
     with pytest.raises(Exception):
         R.page_records(pages, "value").count()
+
+
+def test_arrays_of_records_become_rows(spark):
+    schema = "id int, a struct<items: array<struct<x: int, tags: array<string>>>>"
+    rows = [(1, ([(7, ["p", "q"]), (8, None)],)), (2, ([],)), (3, (None,)), (4, None)]
+    df = spark.createDataFrame(rows, schema)
+    flat = R.normalize(df, explode=["a.items"])
+    assert flat.columns == ["id", "a.items.position", "a.items.x", "a.items.tags"]
+    got = [tuple(r) for r in flat.orderBy("id", "`a.items.position`").collect()]
+    assert got == [(1, 0, 7, ["p", "q"]), (1, 1, 8, None), (2, None, None, None), (3, None, None, None), (4, None, None, None)]
+    deep = R.normalize(df, "_", explode=["a_items", "a_items_tags"])
+    assert sorted(map(tuple, deep.filter("id = 1").collect()), key=str) == [(1, 0, 7, 0, "p"), (1, 0, 7, 1, "q"), (1, 1, 8, None, None)]
+    assert R.normalize(df.limit(0), explode=["a.items"]).count() == 0
+    for wrong in ("id", "a.none"):
+        with pytest.raises(ValueError, match="no array"):
+            R.normalize(df, explode=[wrong])
+    with pytest.raises(ValueError, match="share a name"):
+        R.normalize(df.withColumn("a_items_position", F.lit(1)), "_", explode=["a_items"])
+
+
+def test_lists_of_lists_become_lists(spark):
+    df = spark.createDataFrame([(1, [[1, 2], [], None, [3]]), (2, None), (3, [])], "id int, v array<array<int>>")
+    assert [r["v"] for r in R.flatten_lists(df, ["v"]).orderBy("id").collect()] == [[1, 2, 3], None, []]
+    with pytest.raises(ValueError, match="no lists"):
+        R.flatten_lists(df, ["id"])
+
+
+def test_absent_fields_are_typed_nulls(spark):
+    out = P.select_fields(spark.createDataFrame([(5,)], "id int"), ["basic", "enrollment"])
+    types = dict(out.dtypes)
+    assert types["id"] == "int" and types["school.name"] == "string" and types["latest.student.size"] == "bigint"
+    assert types["latest.student.part_time_share"] == "double"
+    assert sum(v is not None for v in out.first()) == 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from campusgrid.operators import commits
 from campusgrid.operators import snapshots as S
+from campusgrid.operators.joins import skew_join
 from campusgrid.plans.run import batch_id, run, run_summary
 from campusgrid.sources import sinks as K
 
@@ -328,3 +329,53 @@ def test_run_on_nothing(spark, tmp_path):
 def test_batch_id():
     assert len(batch_id()) == len("20240101_000000_abcdef")
     assert batch_id() != batch_id()
+
+
+# --- layers ------------------------------------------------------------------
+
+
+def test_newest_table_of_each_layer(spark, tmp_path):
+    raw, staging = tmp_path / "raw", tmp_path / "staging"
+    raw.mkdir()
+    (raw / "college_20240101_000000.json").write_text('{"id": 1}\n')
+    (raw / "zzz_notes.json").write_text("{}\n")
+    (raw / ".hidden_20300101_000000.json").write_text("{}\n")
+    K.write_raw_json(spark.range(3).selectExpr("id AS `school.size`", "'x' AS name"), str(raw), "a", "20240102_000000")
+    K.write_staging(spark.range(4), str(staging), "s", "20240101_000000")
+    layers = {"raw": f"{raw}/", "staging": str(staging), "processed": str(tmp_path / "none")}
+    listed = {(r["layer"], r["name"]): (str(r["at"]), r["files"]) for r in S.layer_files(spark, layers).collect()}
+    assert listed["raw", "zzz_notes.json"] == ("None", 1)
+    assert ("raw", ".hidden_20300101_000000.json") not in listed and len(listed) == 5
+    report = {r["layer"]: tuple(r)[1:] for r in S.latest_layer_report(spark, layers, {"staging": ".parquet"}).collect()}
+    at = datetime(2024, 1, 2)
+    assert report == {
+        "raw": ("a_20240102_000000.json", at, 3, 2),
+        "staging": ("s_20240101_000000.parquet", datetime(2024, 1, 1), 4, 1),
+    }
+    assert S.latest_layer_report(spark, {"x": str(tmp_path / "none")}).count() == 0
+
+
+def test_stamps(spark):
+    names = ["a_20240102_030405.json", "p_2024_01_02_030405.csv", "20241399_000000", "none", None]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r["at"] for r in df.select(S.name_stamp(F.col("n")).alias("at")).collect()]
+    assert got == [datetime(2024, 1, 2, 3, 4, 5)] * 2 + [None] * 3
+
+
+def test_skewed_keys_are_dealt(spark, rows_of):
+    rows = spark.range(5000).selectExpr("IF(id % 10 < 7, 1, IF(id % 10 = 9, NULL, id)) AS k", "id AS v")
+    small = spark.createDataFrame([(1, "hot"), (None, "none"), (8, "one")], "k bigint, w string")
+    for how in ("inner", "left"):
+        out = skew_join(rows, small, ["k"], how, split_rows=200)
+        plain = rows.join(small.withColumnRenamed("k", "j"), F.col("k").eqNullSafe(F.col("j")), how).drop("j")
+        assert rows_of(out) == rows_of(plain)
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for name, value in zip(kept, ("40", "false", "-1")):
+            spark.conf.set(name, value)
+        dealt = skew_join(rows, small, ["k"], split_rows=200)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4001 and max(sizes) < 1000  # 3500 rows share one key
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
