@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes that a task's caches hold, together and roughly, and pairs of tokens it remembers.
 #: Results don't depend on them.
-CACHE_BYTES = 90_000_000
+CACHE_BYTES = 150_000_000
 PAIR_ENTRIES = 250_000
 #: Bytes that Python needs for an entry besides its contents.
 ENTRY_BYTES = 180

@@ -3,15 +3,17 @@
 Each line goes down a tree of fixed depth: by its number of tokens, then by its
 leading tokens, where a token with a digit is a variable field. A leaf has a template if
 at most positions one token covers most occurrences; the others are variable fields too.
-The lines that agree with it at most positions are of that template, other lines stay
-apart, as do all in a leaf that is too mixed. Templates that
-recur across documents are dropped. Exact copies of a text count as one document, so
-that copies alone don't make a text's own lines recur.
+The lines that agree with it at most positions are of that template. The others, and the
+lines of a leaf that is too mixed, are parted and looked at again, a fixed number of
+times, since a leaf may hold several templates. Templates that
+recur across documents are dropped. Exact copies of a text count as one document
+everywhere, so that copies alone neither make a text's own lines recur nor shape a template.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +28,8 @@ MIN_DOCUMENTS = 10
 SIMILARITY = 0.7
 #: Least share of a leaf's occurrences that the token of a constant position covers.
 COVERED = 0.8
-#: Only `drop_recurring_sql` still leaves documents with a larger share of recurring lines
-#: as they are. `drop_recurring` has no such limit.
-MAX_SHARE = 0.5
+#: Times a leaf is looked at: whole, then its parts.
+PARTS = 4
 
 FIELD = "<*>"
 
@@ -38,8 +39,8 @@ class Tree:
     depth: int = DEPTH
     min_documents: int = MIN_DOCUMENTS
     similarity: float = SIMILARITY
-    max_share: float = MAX_SHARE
     covered: float = COVERED
+    parts: int = PARTS
 
 
 def lines_of(text: Column) -> Column:
@@ -48,7 +49,8 @@ def lines_of(text: Column) -> Column:
 
 def masked(line: Column) -> Column:
     """Tokens joined by single blanks; those with a digit as a field. Blank lines: ''."""
-    plain = F.trim(F.regexp_replace(line, r"[\x09-\x0D ]+", " "))
+    # A single blank stays as it is, so it needs no replacement.
+    plain = F.trim(F.regexp_replace(line, r"[\x09-\x0D ]{2,}|[\x09-\x0D]", " "))
     field = F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
     return F.when(plain.rlike("[0-9]"), field).otherwise(plain)
 
@@ -61,117 +63,158 @@ def _leaf(line: Column, depth: int) -> Column:
     return F.xxhash64(_tokens(line), F.substring_index(line, " ", depth))
 
 
-def _candidates(docs: DataFrame, tree: Tree) -> DataFrame:
-    """(line, leaf, whole): fingerprints of the masked lines that recur if each copy of a
-    text counts, and whether they count together, as lines of their leaf's template.
+def _masked_lines(docs: DataFrame, *keep: str) -> DataFrame:
+    """The `keep` columns, `pos` and `masked` of every line that isn't blank, masked once."""
+    lines = docs.select(*keep, F.posexplode(lines_of(F.col("text"))).alias("pos", "raw"))
+    return lines.select(*keep, "pos", masked(F.col("raw")).alias("masked")).filter("masked <> ''")
 
-    Blank lines have none. Counts cover all documents; only fingerprints and counts are
-    shuffled, summed up before, and the tokens of lines whose leaf is a candidate.
+
+def _coded(masks: DataFrame, depth: int, *keep: str) -> DataFrame:
+    return masks.select(*keep, F.xxhash64("masked").alias("line"), _leaf(F.col("masked"), depth).alias("leaf"))
+
+
+def _templates(kinds: DataFrame, tree: Tree) -> DataFrame:
+    """(leaf, line, template) of the lines that a template of their leaf covers, from (leaf,
+    line, masked, n) of the mixed leaves.
+
+    A group of lines that is too mixed is parted by the token at the place where tokens
+    that may recur cover most; the lines that a group's template doesn't cover become a
+    group of their own. So a leaf may hold several templates.
     """
-    folded = docs.select(F.transform(lines_of(F.col("text")), masked).alias("lines"))
-    each = folded.select(F.explode(F.array_distinct("lines")).alias("masked")).filter("masked <> ''")
-    keyed = each.select(_leaf(F.col("masked"), tree.depth).alias("leaf"), F.xxhash64("masked").alias("line"), "masked")
-    counted = keyed.groupBy("leaf", "line").agg(F.count("*").alias("n"))
-    leaves = counted.groupBy("leaf").agg(F.sum("n").alias("leaf_n"), F.count("*").alias("kinds"))
-    leaves = leaves.filter(F.col("leaf_n") >= tree.min_documents)
-    mixed = leaves.filter("kinds > 1").select("leaf")
-    kinds = keyed.join(mixed, "leaf").groupBy("leaf", "line", "masked").agg(F.count("*").alias("n"))
-    tokens = kinds.select("leaf", "n", F.posexplode(F.split("masked", " ")))
-    tokens = tokens.groupBy("leaf", "pos", "col").agg(F.sum("n").alias("n"))
-    places = tokens.groupBy("leaf", "pos").agg(F.max(F.struct("n", "col")).alias("top"), F.sum("n").alias("n"))
-    constant = F.col("top.n") >= tree.covered * F.col("n")
-    templates = (
-        places.groupBy("leaf")
-        .agg(
-            F.avg(constant.cast("int")).alias("share"),
+    open_lines, found = kinds.withColumn("grp", F.col("leaf")), []
+    same_place = [F.col("grp") == F.col("_grp"), F.col("at") == F.col("pos"), F.col("own") == F.col("col")]
+    for part in range(tree.parts):
+        own = F.split("masked", " ")
+        tokens = open_lines.select("grp", "n", F.posexplode(own)).groupBy("grp", "pos", "col").agg(F.sum("n").alias("n"))
+        tokens = written(tokens)
+        often = F.col("n") >= tree.min_documents
+        places = tokens.groupBy("grp", "pos").agg(
+            F.max(F.struct("n", "col")).alias("top"), F.sum("n").alias("n"), F.sum(F.when(often, F.col("n"))).alias("often")
+        )
+        constant = F.col("top.n") >= tree.covered * F.col("n")
+        groups = places.groupBy(F.col("grp").alias("_grp")).agg(
+            (F.avg(constant.cast("int")) >= tree.similarity).alias("one"),
             F.array_sort(F.collect_list(F.struct("pos", F.when(constant, F.col("top.col")).alias("token")))).alias("places"),
+            F.max(F.when(~constant & F.col("often").isNotNull(), F.struct("often", (-F.col("pos")).alias("before")))).alias("best"),
+            F.max("n").alias("size"),
         )
-        .filter(F.col("share") >= tree.similarity)
-    )
-    agreeing = F.zip_with(F.split("masked", " "), F.col("places.token"), lambda own, token: own.eqNullSafe(token))
-    alike = (
-        kinds.join(templates, "leaf")
-        .filter(F.size(F.filter(agreeing, lambda same: same)) >= tree.similarity * F.size("places"))
-        .select("leaf", "line", F.lit(True).alias("alike"))
-    )
-    candidates = counted.join(leaves.select("leaf", "kinds"), "leaf").join(alike, ["leaf", "line"], "left")
-    whole = (F.col("kinds") == 1) | F.coalesce("alike", F.lit(False))
-    return candidates.filter(whole | (F.col("n") >= tree.min_documents)).select("line", "leaf", whole.alias("whole"))
+        agreeing = F.zip_with(own, F.col("places.token"), lambda word, token: word.eqNullSafe(token))
+        alike = F.size(F.filter(agreeing, lambda same: same)) >= tree.similarity * F.size("places")
+        judged = open_lines.join(groups.filter(F.col("size") >= tree.min_documents), F.col("grp") == F.col("_grp")).drop("_grp")
+        judged = written(judged.withColumn("alike", F.col("one") & alike))
+        found.append(judged.filter("alike").select("leaf", "line", F.col("grp").alias("template")))
+        if part == tree.parts - 1:
+            break
+        names = ("leaf", "line", "masked", "n")
+        rest = judged.filter("one AND NOT alike").select(*names, F.xxhash64("grp", F.lit("rest")).alias("grp"))
+        mixed = judged.filter("NOT one AND best IS NOT NULL").select(*names, "grp", (-F.col("best.before")).alias("at"))
+        mixed = mixed.withColumn("own", F.get(own, F.col("at")))
+        shared = tokens.filter(often).select(F.col("grp").alias("_grp"), "pos", "col")
+        mixed = mixed.join(shared, same_place, "left_semi").select(*names, F.xxhash64("grp", "at", "own").alias("grp"))
+        open_lines = rest.union(mixed)
+    return reduce(DataFrame.union, found)
 
 
 def recurring_lines(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """(_id, _key, line) per document: fingerprints of its id's text and of those of its
-    masked lines that a recurring template covers.
+    """(_id, _key, pos) of the lines that a recurring template covers: a document's id, the
+    fingerprint of its text, the line's place from 0.
 
-    A template occurs once per distinct text and masked line. Texts are counted over the
-    candidates' lines, since a count of texts is never above that of documents.
+    All texts are masked once, and lines go on as fingerprints. A template counts once per
+    distinct text and masked line. Tokens are looked at in the mixed leaves that may
+    recur only: there, one text per line is read again.
     """
-    hashes = F.transform(lines_of(F.col("text")), lambda line: F.xxhash64(masked(line)))
-    exploded = docs.select(
-        F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.explode(F.array_distinct(hashes)).alias("line")
-    )
-    found = written(exploded.join(_candidates(docs, tree), "line"))
-    texts = found.select("_key", "line", "leaf", "whole").distinct().groupBy("line", "leaf", "whole").agg(F.count("*").alias("n"))
-    totals = texts.filter("whole").groupBy("leaf").agg(F.sum("n").alias("leaf_n")).filter(F.col("leaf_n") >= tree.min_documents)
-    together = texts.filter("whole").join(totals, "leaf", "left_semi").select("line")
-    alone = texts.filter(~F.col("whole") & (F.col("n") >= tree.min_documents)).select("line")
-    return found.select("_id", "_key", "line").join(together.union(alone), "line", "left_semi")
-
-
-def drop_recurring(docs: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """All columns of all documents, `text` without lines of recurring templates, and
-    n_lines, n_dropped.
+    rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), "text")
+    lines = written(_coded(_masked_lines(rows, "_id", "_key"), tree.depth, "_id", "_key", "pos"))
+    each = lines.groupBy("_key", "line", "leaf").agg(F.lit(1).alias("_one"))
+    counted = written(each.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("_key").alias("_from")))
+    leaves = counted.groupBy("leaf").agg(F.sum("n").alias("leaf_n"), F.count("*").alias("kinds"))
+    leaves = leaves.filter(F.col("leaf_n") >= tree.min_documents)
+    open_lines = written(counted.join(leaves.select("leaf", "kinds"), "leaf"))
+    mixed = open_lines.filter("kinds > 1").select(F.col("leaf").alias("_leaf"), F.col("line").alias("_line"), "n", "_from")
+    read = rows.select("_key", "text").join(mixed.select(F.col("_from").alias("_k")).distinct(), F.col("_key") == F.col("_k"), "left_semi")
+    coded = _coded(_masked_lines(read, "_key"), tree.depth, "_key", "masked")
+    kinds = coded.join(mixed, (F.col("leaf") == F.col("_leaf")) & (F.col("line") == F.col("_line")) & (F.col("_key") == F.col("_from")))
+    kinds = kinds.groupBy("leaf", "line").agg(F.any_value("masked").alias("masked"), F.any_value("n").alias("n"))
+    covered = _templates(written(kinds), tree)
+    single = F.when(F.col("kinds") == 1, F.col("leaf"))
+    judged = open_lines.join(covered, ["leaf", "line"], "left")
+    judged = written(judged.select("leaf", "line", "n", F.coalesce("template", single).alias("template")))
+    totals = judged.groupBy("template").agg(F.sum("n").alias("total")).filter(F.col("total") >= tree.min_documents)
+    together = judged.join(totals.filter("template IS NOT NULL"), "template", "left_semi").select("line", "leaf")
+    alone = judged.filter(F.col("template").isNull() & (F.col("n") >= tree.min_documents)).select("line", "leaf")
+    return lines.join(together.union(alone), ["line", "leaf"], "left_semi").select("_id", "_key", "pos")
+
+
+def drop_recurring(docs: DataFrame, tree: Tree = Tree(), counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """All columns of all documents, `text` without lines of recurring templates, and two
+    columns more, named by `counts`: the lines a text had and those dropped.
 
     All such lines go, also if they are all that a document has. Null texts stay null
     with 0 lines. Rows with equal id and text get the same result; null ids are like any
     other. An empty table gives an empty one. Other columns are untouched, whatever their
-    names, except for `n_lines` and `n_dropped`, which are replaced.
+    names; one named as in `counts` is replaced.
     """
-    hit = recurring_lines(docs, tree).groupBy("_id", "_key").agg(F.collect_set("line").alias("_hit"))
-    joined = docs.drop("n_lines", "n_dropped").join(
-        hit, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_key")), "left"
-    )
-    lines = lines_of(F.col("text"))
-    clean = F.filter(lines, lambda line: ~F.array_contains("_hit", F.xxhash64(masked(line))))
-    dropped = F.size(lines) - F.size(clean)
+    own = [c for c in docs.columns if c not in counts]
+    places = {c: f"c{i}" for i, c in enumerate(own)}
+    hit = recurring_lines(docs.select("doc_id", "text"), tree).groupBy("_id", "_key").agg(F.collect_set("pos").alias("_hit"))
+    renamed = docs.select(*[F.col(f"`{c}`").alias(place) for c, place in places.items()])
+    text = F.col(places["text"])
+    same = F.col(places["doc_id"]).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
+    joined = renamed.join(hit, same, "left").withColumn("_lines", lines_of(text))
+    # Places by a set difference, so that a text of very many lines takes time in proportion.
+    size = F.size("_lines")
+    left = F.array_except(F.sequence(F.lit(0), size - 1), F.col("_hit"))
+    clean = F.array_join(F.transform(left, lambda place: F.get(F.col("_lines"), place)), "\n")
     some = F.col("_hit").isNotNull()
     return joined.select(
-        *[
-            (F.when(some, F.array_join(clean, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`"))
-            for c in docs.columns
-            if c not in ("n_lines", "n_dropped")
-        ],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
-        F.when(some, dropped).otherwise(0).cast("bigint").alias("n_dropped"),
+        *[(F.when(some, clean).otherwise(text) if c == "text" else F.col(place)).alias(c) for c, place in places.items()],
+        F.when(text.isNull(), 0).otherwise(size).cast("bigint").alias(counts[0]),
+        F.when(some, F.size("_hit")).otherwise(0).cast("bigint").alias(counts[1]),
     )
 
 
 def drop_recurring_sql(docs: str, tree: Tree = Tree()) -> str:
     """DuckDB common table expressions that end in `lined`: doc_id, text, n_lines, n_dropped."""
+    covered, similar, least = (f"CAST({x} AS DOUBLE)" for x in (tree.covered, tree.similarity, tree.min_documents))
+    first = "SELECT m, toks, n, k || '|' || array_to_string(lead, ' ') AS grp FROM lined3 JOIN lined4 USING (k, lead) WHERE kinds > 1"
+    rounds = "\n".join(
+        f"""open{r} AS ({first if r == 0 else f"""
+    SELECT m, toks, n, grp || '|rest' AS grp FROM judged{r - 1} WHERE one AND NOT alike
+    UNION ALL SELECT m, toks, n, grp || '|' || spot || ' ' || toks[spot + 1] FROM judged{r - 1} j WHERE NOT one
+      AND EXISTS (SELECT 1 FROM tokens{r - 1} t WHERE t.grp = j.grp AND p = spot AND tok = toks[spot + 1] AND t.n >= {least})"""}),
+tokens{r} AS (SELECT grp, p, tok, sum(n) AS n
+    FROM (SELECT grp, n, unnest(toks) AS tok, unnest(range(len(toks))) AS p FROM open{r}) GROUP BY grp, p, tok),
+places{r} AS (SELECT grp, p, arg_max(tok, (n, tok)) AS tok, max(n) >= {covered} * sum(n) AS fixed, sum(n) AS n,
+    sum(n) FILTER (WHERE n >= {least}) AS often FROM tokens{r} GROUP BY grp, p),
+groups{r} AS (SELECT grp, count(*) FILTER (WHERE fixed) / count(*) >= {similar} AS one,
+    list(CASE WHEN fixed THEN tok END ORDER BY p) AS places,
+    arg_max(p, (often, -p)) FILTER (WHERE NOT fixed AND often IS NOT NULL) AS spot
+    FROM places{r} GROUP BY grp HAVING max(n) >= {least}),
+judged{r} AS (SELECT *, one AND len(list_filter(list_zip(toks, places), lambda z: z[1] IS NOT DISTINCT FROM z[2]))
+    >= {similar} * len(toks) AS alike FROM open{r} JOIN groups{r} USING (grp)),"""
+        for r in range(tree.parts)
+    )
+    found = " UNION ALL ".join(f"SELECT m, grp AS template FROM judged{r} WHERE alike" for r in range(tree.parts))
     return f"""
 lined0 AS (SELECT *, row_number() OVER () AS rid,
     CASE WHEN text IS NULL THEN []::VARCHAR[] ELSE string_split(text, chr(10)) END AS raw FROM {docs}),
 lined1 AS (SELECT *, list_transform(raw, lambda l: list_aggregate(list_transform(
     list_filter(regexp_split_to_array(l, '[\\x09-\\x0D ]+'), lambda t: t <> ''),
     lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END), 'string_agg', ' ')) AS masks FROM lined0),
-lined2 AS (SELECT DISTINCT rid, unnest(masks) AS m FROM lined1),
-lined3 AS (SELECT m, string_split(m, ' ') AS toks, count(*) AS n FROM lined2 WHERE m IS NOT NULL GROUP BY m),
-lined4 AS (SELECT *, len(toks) AS k, toks[1:{tree.depth}] AS lead FROM lined3),
-lined5 AS (SELECT k, lead, sum(n) AS leaf_n, count(*) AS kinds FROM lined4 GROUP BY k, lead
-    HAVING sum(n) >= {tree.min_documents}),
-lined6 AS (SELECT k, lead, p, min(tok) = max(tok) AS constant FROM (
-    SELECT k, lead, unnest(toks) AS tok, unnest(range(len(toks))) AS p
-    FROM lined4 JOIN lined5 USING (k, lead)) GROUP BY k, lead, p),
-lined7 AS (SELECT k, lead, avg(CAST(constant AS INTEGER)) >= {tree.similarity} AS alike FROM lined6 GROUP BY k, lead),
-lined8 AS (SELECT m FROM lined4 JOIN lined5 USING (k, lead) JOIN lined7 USING (k, lead)
-    WHERE kinds = 1 OR alike OR n >= {tree.min_documents}),
-lined9 AS (SELECT rid, list(line ORDER BY i) FILTER (WHERE hit IS NULL) AS clean,
-    count(hit) AS hits, count(m) AS filled
+lined2 AS (SELECT m, string_split(m, ' ') AS toks, count(*) AS n
+    FROM (SELECT DISTINCT text, unnest(masks) AS m FROM lined1) WHERE m IS NOT NULL GROUP BY m),
+lined3 AS (SELECT *, len(toks) AS k, toks[1:{tree.depth}] AS lead FROM lined2),
+lined4 AS (SELECT k, lead, count(*) AS kinds FROM lined3 GROUP BY k, lead HAVING sum(n) >= {least}),
+{rounds}
+lined8 AS (SELECT k, lead, m, n, CASE WHEN kinds = 1 THEN k || '|' || array_to_string(lead, ' ') ELSE template END AS template
+    FROM lined3 JOIN lined4 USING (k, lead) LEFT JOIN ({found}) USING (m)),
+lined9 AS (SELECT template FROM lined8 WHERE template IS NOT NULL GROUP BY template HAVING sum(n) >= {least}),
+lined10 AS (SELECT m FROM lined8 JOIN lined9 USING (template)
+    UNION ALL SELECT m FROM lined8 WHERE template IS NULL AND n >= {least}),
+lined11 AS (SELECT rid, list(line ORDER BY i) FILTER (WHERE hit IS NULL) AS clean, count(hit) AS hits
     FROM (SELECT rid, unnest(raw) AS line, unnest(masks) AS m, unnest(range(len(raw))) AS i FROM lined1) x
-    LEFT JOIN (SELECT m AS hit FROM lined8) y ON x.m = y.hit GROUP BY rid),
+    LEFT JOIN (SELECT m AS hit FROM lined10) y ON x.m = y.hit GROUP BY rid),
 lined AS (SELECT a.* EXCLUDE (rid, raw, masks, text),
-    CASE WHEN hits > 0 AND hits <= {tree.max_share} * filled
-      THEN coalesce(array_to_string(clean, chr(10)), '') ELSE text END AS text,
-    CAST(len(raw) AS BIGINT) AS n_lines,
-    CAST(CASE WHEN hits > 0 AND hits <= {tree.max_share} * filled THEN hits ELSE 0 END AS BIGINT) AS n_dropped
-  FROM lined1 a LEFT JOIN lined9 b USING (rid))"""
+    CASE WHEN hits > 0 THEN coalesce(array_to_string(clean, chr(10)), '') ELSE text END AS text,
+    CAST(len(raw) AS BIGINT) AS n_lines, CAST(coalesce(hits, 0) AS BIGINT) AS n_dropped
+  FROM lined1 a LEFT JOIN lined11 b USING (rid))"""

@@ -397,7 +397,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each component, that of the smallest doc_id (null last; of equal ids
-    the one with the smallest fingerprint of its text); all columns as they are.
+    the one with the smallest fingerprint of its text); all columns as they are, whatever
+    their names.
 
     Rows without words are no one's duplicates and stay, repeated or not.
     """
@@ -407,7 +408,11 @@ def drop_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PE
     kept = first.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"), F.lit(True).alias("_one"))
     blank = groups.filter("n = 0").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.lit(False).alias("_one"))
     chosen = kept.union(blank.distinct())
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    joined = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_mark")))
-    again = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy(F.lit(1)))
-    return joined.withColumn("_again", again).filter("_again = 1 OR NOT _one").select(*[F.col(f"`{c}`") for c in docs.columns])
+    places = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own_id, own_text = F.col(places["doc_id"]), F.col(places["text"])
+    renamed = docs.select(*[F.col(f"`{c}`").alias(place) for c, place in places.items()])
+    marked = renamed.withColumn("_text", F.xxhash64(own_text))
+    joined = marked.join(chosen, own_id.eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_mark")))
+    again = F.row_number().over(Window.partitionBy(own_id, "_text").orderBy(F.lit(1)))
+    kept = joined.withColumn("_again", again).filter("_again = 1 OR NOT _one")
+    return kept.select(*[F.col(place).alias(c) for c, place in places.items()])
