@@ -15,7 +15,11 @@ from campusgrid.llm.common import fold_of, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, fitted on the labels, doesn't reject."""
+    """Documents that the quality classifier, fitted on the labels, doesn't reject.
+
+    Null texts are scored as empty ones; rows with null ids are scored, but never
+    learned from. Repeated rows are scored alike. Without labels every document stays.
+    """
     renamed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], "doc_id", "text")
     renamed = renamed.withColumn("fold", fold_of(F.col("doc_id"), 4))
     model = quality.train(renamed, table(spark, sf_dir, "labels"))
@@ -26,24 +30,35 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The texts without lines of recurring templates; n_chars follows the text."""
-    kept = lines.drop_recurring(docs.drop("n_lines", "n_dropped"))
-    counted = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", counted).drop("n_lines", "n_dropped")
+    """The texts without lines of recurring templates; n_chars follows the text.
+
+    No document goes, null and empty texts stay as they are, an empty table gives one.
+    """
+    counts = tuple(f"_{'_'.join(docs.columns)}_{name}" for name in ("lines", "dropped"))  # no column is named so
+    kept = lines.drop_recurring(docs, counts=counts)
+    counted = F.when(F.col(f"`{counts[1]}`") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", counted).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id."""
+    """One document of each group of near duplicates: that of the smallest id, null last.
+
+    Documents without words, null texts too, are no one's duplicates and stay.
+    """
     return similar.drop_near_duplicates(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item; null texts hold none.
+
+    Without benchmark items every document stays.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the digest of the bytes they decode to."""
+    """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of every text, with the digest of the bytes
+    its ids decode to. Null and empty texts have no ids; repeated rows are coded alike."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     outputs = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, outputs)
