@@ -4,8 +4,8 @@ A document's set holds its distinct 5-word shingles as 64-bit fingerprints, orde
 by how frequent they are and then by value. Two sets with Jaccard likeness t or more
 share a shingle within their prefixes, the first n - ceil(t n) + 1 of each.
 
-Equal sets collapse to one. Sets of equal prefix and size form a group, and only
-groups are paired, by shingle, size and place of the shingle. Pairs of groups are
+Equal sets collapse to one. Sets of equal prefix and size form a group before anything
+is shuffled by shingle, and only groups are paired, by shingle, size and place of the shingle. Pairs of groups are
 then expanded to their members and those verified on the whole sets.
 
 Members that are linked already needn't be compared. So a first round compares each
@@ -49,6 +49,8 @@ LEADERS = 3
 TRIED = 4
 
 _SALT = np.uint64(0x27D4EB2F165667C5)
+#: No frequent shingles: sets are ordered by value alone.
+NONE_FREQUENT = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
 
 
 def _sets(words: Words, size: int) -> Iterator[np.ndarray]:
@@ -79,15 +81,36 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
 
 
-def document_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, mark, n, set_id, check, sketch) of every document; n = 0 without words.
+def _prefix(shingles: np.ndarray, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles of a set in the order of all sets, enough for a link of `percent`."""
+    values, counts = frequent
+    n = len(shingles)
+    if len(values):
+        at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
+        often = np.where(values[at] == shingles, counts[at], 0)
+        shingles = shingles[np.argsort(often, kind="stable")]
+    return shingles[: n - (n * percent + 99) // 100 + 1]
 
-    mark: fingerprint of the text. sketch: 1024 bits; a shingle flips one of them.
+
+def _group(prefix: np.ndarray, n: int) -> int:
+    """Fingerprint of a prefix, in its order, and the size of its set."""
+    steps = mixed(prefix + np.arange(len(prefix), dtype=np.uint64) * _SALT).sum(dtype=np.uint64)
+    return int(signed(mixed(np.array([steps + np.uint64(n)], dtype=np.uint64)))[0])
+
+
+def document_sets(
+    docs: DataFrame, size: int, percent: int = PERCENT, frequent: tuple[np.ndarray, np.ndarray] = NONE_FREQUENT
+) -> DataFrame:
+    """(doc_id, mark, n, set_id, check, grp, sketch) of every document; n = 0 without words.
+
+    mark: fingerprint of the text. grp: that of the set's prefix and size. sketch: 1024
+    bits; a shingle flips one of them.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, bits = [], [], [], []
+            n, one, two, groups, bits = [], [], [], [], []
             for _, words in chunks(batch.column(2), True, BLANK_SEPARATED):
                 for shingles in _sets(words, size):
                     a, b = _identity(shingles)
@@ -95,13 +118,15 @@ def document_sets(docs: DataFrame, size: int) -> DataFrame:
                     n.append(len(shingles))
                     one.append(a)
                     two.append(b)
-            made = [pa.array(c, pa.int64()) for c in (n, one, two)]
+                    groups.append(_group(_prefix(shingles, percent, shared.value), len(shingles)))
+            made = [pa.array(c, pa.int64()) for c in (n, one, two, groups)]
             own = [batch.column(0), batch.column(1)]
             made.append(pa.array(bits, pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(own + made, names=["doc_id", "mark", "n", "set_id", "check", "sketch"])
+            yield pa.RecordBatch.from_arrays(own + made, names=["doc_id", "mark", "n", "set_id", "check", "grp", "sketch"])
 
     source = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("mark"), F.col("text"))
-    return source.mapInArrow(run, "doc_id bigint, mark bigint, n bigint, set_id bigint, check bigint, sketch array<bigint>")
+    schema = "doc_id bigint, mark bigint, n bigint, set_id bigint, check bigint, grp bigint, sketch array<bigint>"
+    return source.mapInArrow(run, schema)
 
 
 def frequent_shingles(docs: DataFrame, size: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -149,46 +174,39 @@ def _ceil_share(n: Column, percent: int) -> Column:
 
 
 def postings(docs: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(set_id, n, group, shingle, place) for each shingle of a set's prefix; place from 0.
+    """(grp, n, shingle, place) for each shingle of a group's prefix; place from 0.
 
-    group: fingerprint of the prefix and the size. A set comes once per task or more.
+    Sets of one prefix and size are one group, which comes once per task or more.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, counts = shared.value
         seen: set[int] = set()
         for batch in batches:
             for _, words in chunks(batch.column(0), True, BLANK_SEPARATED):
-                columns: list[list[np.ndarray]] = [[] for _ in range(5)]
+                columns: list[list[np.ndarray]] = [[] for _ in range(4)]
                 for shingles in _sets(words, size):
                     n = len(shingles)
                     own = _identity(shingles)[0] if n else 0
                     if not n or own in seen:
                         continue
+                    prefix = _prefix(shingles, percent, shared.value)
+                    group = _group(prefix, n)
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(own)
-                    length = n - (n * percent + 99) // 100 + 1
-                    prefix = shingles
-                    if len(values):
-                        at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
-                        often = np.where(values[at] == shingles, counts[at], 0)
-                        prefix = shingles[np.argsort(often, kind="stable")]
-                    prefix = prefix[:length]
-                    steps = mixed(prefix + np.arange(length, dtype=np.uint64) * _SALT).sum(dtype=np.uint64)
-                    group = signed(mixed(np.array([steps + np.uint64(n)], dtype=np.uint64)))[0]
-                    for column, value in zip(columns, (own, n, group)):
-                        column.append(np.full(length, value, dtype=np.int64))
-                    columns[3].append(signed(prefix))
-                    columns[4].append(np.arange(length))
+                    if group in seen:
+                        continue
+                    seen.add(group)
+                    for column, value in zip(columns, (group, n)):
+                        column.append(np.full(len(prefix), value, dtype=np.int64))
+                    columns[2].append(signed(prefix))
+                    columns[3].append(np.arange(len(prefix)))
                 if columns[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(c)) for c in columns],
-                        names=["set_id", "n", "grp", "shingle", "place"],
-                    )
+                    arrays = [pa.array(np.concatenate(c)) for c in columns]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["grp", "n", "shingle", "place"])
 
-    return docs.select("text").mapInArrow(run, "set_id bigint, n bigint, grp bigint, shingle bigint, place bigint")
+    return docs.select("text").mapInArrow(run, "grp bigint, n bigint, shingle bigint, place bigint")
 
 
 def _may_link(n: Column, place: Column, other_n: Column, other_place: Column, percent: int) -> Column:
@@ -254,9 +272,10 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
                         [pa.array(found, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
                     )
 
+    # Sets are dealt by their id once; both joins use that shuffle.
     sets = docs.select("text").mapInArrow(run, "id bigint, shingles array<bigint>")
     sets = sets.join(wanted.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left_semi")
-    sets = written(sets.groupBy("id").agg(F.any_value("shingles").alias("shingles")))
+    sets = sets.groupBy("id").agg(F.any_value("shingles").alias("shingles"))
     left = sets.select(F.col("id").alias("ida"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("idb"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(right, F.col("b") == F.col("idb")).join(left, F.col("a") == F.col("ida"))
@@ -264,41 +283,51 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, picked:
     return both.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def links(docs: DataFrame, known_sets: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(node, component) of the distinct sets that link with another one.
+def _shared_postings(posted: DataFrame, percent: int) -> DataFrame:
+    """(shingle, grp, n, place, leaders) for the shingles of two groups or more.
 
-    known_sets: (set_id, sketch), one row per distinct set.
+    leaders: a few other groups of the shingle, the same ones for all its groups, as
+    far as a link with them is possible. All is worked out behind one shuffle by shingle.
     """
-    frequent = frequent_shingles(docs, size)
-    posted = postings(docs, size, percent, frequent)
     by_shingle = Window.partitionBy("shingle")
-    # Only shingles of two sets or more matter.
-    shared = (
-        posted.withColumn("low", F.min("set_id").over(by_shingle))
-        .withColumn("high", F.max("set_id").over(by_shingle))
-        .filter("low <> high")
+    shared = posted.withColumn("low", F.min("grp").over(by_shingle)).withColumn("high", F.max("grp").over(by_shingle))
+    lists = shared.filter("low <> high").groupBy("shingle", "grp").agg(*[F.any_value(c).alias(c) for c in ("n", "place")])
+    turns = [F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "n", "place") for turn in range(LEADERS)]
+    led = lists.select("*", *[F.min(order).over(by_shingle).alias(f"first_{t}") for t, order in enumerate(turns)])
+
+    def able(first: Column) -> Column:
+        other = F.col("grp") != first["grp"]
+        return other & _may_link(F.col("n"), F.col("place"), first["n"], first["place"], percent)
+
+    leaders = F.array_distinct(
+        F.filter(
+            F.array(*[F.when(able(F.col(f"first_{t}")), F.col(f"first_{t}.grp")) for t in range(LEADERS)]),
+            lambda grp: grp.isNotNull(),
+        )
     )
-    firsts = [F.any_value(c).alias(c) for c in ("n", "grp", "place")]
-    lists = written(shared.groupBy("shingle", "set_id").agg(*firsts))
-    members = lists.groupBy("set_id").agg(F.any_value("grp").alias("grp"), F.any_value("n").alias("n"))
-    members = written(members.join(known_sets.select("set_id", "sketch"), "set_id"))
+    return led.select("shingle", "grp", "n", "place", leaders.alias("leaders"))
+
+
+def links(
+    docs: DataFrame, known_sets: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """(node, component) of the distinct sets that link with another one.
+
+    known_sets: (set_id, n, grp, sketch), one row per distinct set.
+    """
+    grouped = written(_shared_postings(postings(docs, size, percent, frequent), percent))
+    crowded = known_sets.groupBy("grp").agg(F.count("*").alias("k")).filter("k > 1").select("grp")
+    named = grouped.select("grp").distinct().union(crowded).distinct()
+    members = written(known_sets.join(named, "grp", "left_semi").select("set_id", "grp", "n", "sketch"))
     heads = members.groupBy("grp").agg(F.min("set_id").alias("head"))
-    grouped = written(
-        lists.groupBy("shingle", "grp").agg(F.any_value("n").alias("n"), F.any_value("place").alias("place"))
-    )
     one = members.select(*[F.col(c).alias(f"{c}_a") for c in members.columns])
     two = members.select(*[F.col(c).alias(f"{c}_b") for c in members.columns])
     alike = _sketches_allow(F.col("n_a"), F.col("sketch_a"), F.col("n_b"), F.col("sketch_b"), percent)
 
     # Members with the head of their group; groups with leaders of each of their shingles.
     pairs = members.join(heads, "grp").filter("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b"))
-    turns = [F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "n", "place") for turn in range(LEADERS)]
-    led = grouped.select("*", *[F.min(order).over(by_shingle).alias(f"first_{t}") for t, order in enumerate(turns)])
-    firsts = [F.struct(*[F.col(f"first_{t}.{c}").alias(c) for c in ("grp", "n", "place")]) for t in range(LEADERS)]
-    led = led.select("grp", "n", "place", F.explode(F.array_distinct(F.array(*firsts))).alias("first"))
-    led = led.filter(F.col("grp") != F.col("first.grp"))
-    led = led.filter(_may_link(F.col("n"), F.col("place"), F.col("first.n"), F.col("first.place"), percent))
-    between = led.groupBy(F.col("first.grp").alias("ga"), F.col("grp").alias("gb")).agg(F.count("*").alias("common"))
+    led = grouped.select(F.explode("leaders").alias("ga"), F.col("grp").alias("gb"))
+    between = led.groupBy("ga", "gb").agg(F.count("*").alias("common"))
     nearest = F.row_number().over(Window.partitionBy("gb").orderBy(F.desc("common"), "ga"))
     between = between.withColumn("nearest", nearest).filter(F.col("nearest") <= TRIED)
     named = between.join(heads.select(F.col("grp").alias("ga"), F.col("head").alias("a")), "ga").join(
@@ -365,14 +394,15 @@ def _joined(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, mark, n, set_id, label, component_id) of every document; label names the
     component, null without words."""
     texts = docs.select("doc_id", "text")
-    sets = written(document_sets(texts, size))
+    frequent = frequent_shingles(texts, size)
+    sets = written(document_sets(texts, size, percent, frequent))
     smallest = (
         sets.filter("n > 0")
-        .groupBy("set_id", "check", "n")
+        .groupBy("set_id", "check", "n", "grp")
         .agg(F.min("doc_id").alias("low"), F.any_value("sketch").alias("sketch"))
     )
-    smallest = written(smallest.select("set_id", "low", "sketch"))
-    found = links(texts, smallest, size, percent)
+    smallest = written(smallest.select("set_id", "n", "grp", "low", "sketch"))
+    found = links(texts, smallest, frequent, size, percent)
     labels = smallest.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "low", F.coalesce("component", "set_id").alias("label")
     )

@@ -210,6 +210,7 @@ def test_near_duplicates_broadcast_no_ids(spark, monkeypatch, bits):
     monkeypatch.setattr(context, "broadcast", lambda self, value: sent.append(value) or real(self, value))
     df = docs(spark, [f"a{i} b{i} c d e f{i}" for i in range(300)]).select("doc_id", "text")
     ids = [r["set_id"] for r in similar.document_sets(df, 5).collect()]
+    sent.clear()
     for n in (3, 300):
         pairs = spark.createDataFrame([(i, i) for i in ids[:n]], "a bigint, b bigint")
         assert similar.verified(pairs, df, 5, 80, picked=bits).count() == n
