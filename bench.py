@@ -93,8 +93,10 @@ def main() -> None:
     stages = {}
     if not only:
         folder = scratch_dir(spark)
-        raw_records(spark, sf_dir).write.parquet(f"{folder}/raw")
-        institutions(spark, sf_dir).write.parquet(f"{folder}/institutions")
+        # As many files as threads, so that a stage's scan and cleaning use them all.
+        files = int(cpus) if cpus.isdigit() else 8
+        raw_records(spark, sf_dir).repartition(files).write.parquet(f"{folder}/raw")
+        institutions(spark, sf_dir).repartition(files).write.parquet(f"{folder}/institutions")
         raw = spark.read.parquet(f"{folder}/raw")
         ready = spark.read.parquet(f"{folder}/institutions")
         rows = raw.count()

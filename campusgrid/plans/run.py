@@ -28,6 +28,14 @@ def batch_id() -> str:
     return f"{stamp()}_{uuid.uuid4().hex[:6]}"
 
 
+class RunFailed(Exception):
+    """A stage failed. `log` holds the rows of all stages up to it."""
+
+    def __init__(self, message: str, log: DataFrame):
+        super().__init__(message)
+        self.log = log
+
+
 @dataclass
 class StageLog:
     """Collects one row per stage."""
@@ -35,6 +43,7 @@ class StageLog:
     spark: SparkSession
     batch: str
     rows: list[tuple]
+    cause: Exception | None = None
 
     def stage(self, name: str, work: Callable[[], int]) -> bool:
         """Run one stage on what the last one left.
@@ -48,7 +57,7 @@ class StageLog:
                 raise ValueError(f"no rows to {name}")
             out = work()
         except Exception as failure:
-            error = f"{type(failure).__name__}: {failure}"
+            error, self.cause = f"{type(failure).__name__}: {failure}", failure
         removed = 0 if error else max(records_in - out, 0)
         self.rows.append(
             (
@@ -84,7 +93,8 @@ def run(
     compute it again nor depend on the executors that made it. Validation counts
     over five of its columns; rows are only written when they are transformed.
     All counts come from those tables and that aggregate, so a task that runs
-    twice is not counted twice. The first failing stage ends the run.
+    twice is not counted twice. The first failing stage ends the run: it is logged, and
+    `RunFailed` is raised with the log.
     """
     spark = records.sparkSession
     batch = batch_id()
@@ -114,7 +124,7 @@ def run(
         ("load", load),
     ):
         if not log.stage(name, work):
-            break
+            raise RunFailed(f"stage {name} failed: {log.rows[-1][-1]}", log.table()) from log.cause
     return log.table()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from campusgrid.operators import commits
 from campusgrid.operators import snapshots as S
 from campusgrid.operators.joins import skew_join
-from campusgrid.plans.run import batch_id, run, run_summary
+from campusgrid.plans.run import RunFailed, batch_id, run, run_summary
 from campusgrid.sources import sinks as K
 
 LOADED = (
@@ -311,7 +311,9 @@ def test_run(spark, tmp_path):
 
 
 def test_run_stops_at_the_first_failure(spark, tmp_path):
-    log = run(spark.range(3), str(tmp_path), "never")
+    with pytest.raises(RunFailed, match="validate") as failure:
+        run(spark.range(3), str(tmp_path), "never")
+    log = failure.value.log
     rows = log.orderBy("position").collect()
     assert [(r.stage, r.status) for r in rows] == [("extract", "success"), ("validate", "failed")]
     assert "school_name" in rows[1].error
@@ -320,8 +322,9 @@ def test_run_stops_at_the_first_failure(spark, tmp_path):
 
 
 def test_run_on_nothing(spark, tmp_path):
-    log = run(spark.createDataFrame([], RAW), str(tmp_path), "never")
-    rows = log.orderBy("position").collect()
+    with pytest.raises(RunFailed, match="no rows") as failure:
+        run(spark.createDataFrame([], RAW), str(tmp_path), "never")
+    rows = failure.value.log.orderBy("position").collect()
     assert [(r.stage, r.status) for r in rows] == [("extract", "success"), ("validate", "failed")]
     assert "no rows" in rows[1].error
 
