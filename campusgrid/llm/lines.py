@@ -47,12 +47,15 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def plain(line: Column) -> Column:
+    """Tokens joined by single blanks. A single blank stays as it is, so it needs no replacement."""
+    return F.trim(F.regexp_replace(line, r"[\x09-\x0D ]{2,}|[\x09-\x0D]", " "))
+
+
 def masked(line: Column) -> Column:
-    """Tokens joined by single blanks; those with a digit as a field. Blank lines: ''."""
-    # A single blank stays as it is, so it needs no replacement.
-    plain = F.trim(F.regexp_replace(line, r"[\x09-\x0D ]{2,}|[\x09-\x0D]", " "))
-    field = F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
-    return F.when(plain.rlike("[0-9]"), field).otherwise(plain)
+    """A plain line with the tokens that hold a digit as fields."""
+    field = F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", FIELD)
+    return F.when(line.rlike("[0-9]"), field).otherwise(line)
 
 
 def _tokens(line: Column) -> Column:
@@ -66,7 +69,10 @@ def _leaf(line: Column, depth: int) -> Column:
 def _masked_lines(docs: DataFrame, *keep: str) -> DataFrame:
     """The `keep` columns, `pos` and `masked` of every line that isn't blank, masked once."""
     lines = docs.select(*keep, F.posexplode(lines_of(F.col("text"))).alias("pos", "raw"))
-    return lines.select(*keep, "pos", masked(F.col("raw")).alias("masked")).filter("masked <> ''")
+    # A filter on what is masked would mask it twice.
+    filled = lines.filter(F.trim(F.col("raw"), F.lit(" \t\n\x0b\x0c\r")) != "")
+    plain_lines = filled.select(*keep, "pos", plain(F.col("raw")).alias("plain"))
+    return plain_lines.select(*keep, "pos", masked(F.col("plain")).alias("masked"))
 
 
 def _coded(masks: DataFrame, depth: int, *keep: str) -> DataFrame:
