@@ -6,12 +6,15 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from campusgrid.llm import bpe, brown, chat, decontaminate, language, lines, quality, repeats, similar, spotsigs
+from campusgrid.llm.hashing import BLANK_SEPARATED, chunks
 from campusgrid.llm.queries import ORACLES, QUERIES
 from checks import compare
 
@@ -261,6 +264,44 @@ def test_class_scores_beat_unigrams(spark):
     assert brown.score(docs(spark, ODD), model, ("doc_id",)).filter("n_tokens >= 1 AND score < 0").count() == len(ODD)
 
 
+def test_every_word_has_its_own_class(spark):
+    """Words that end alike and are no units of the exchange are told apart by their neighbours."""
+    texts = [f"the n{i % 40}ab will v{i * 7 % 40}ab . the dog will run . the cat will sit ." for i in range(400)]
+    model = brown.train(docs(spark, texts), unit_words=7, broadcast_words=0, k=6)
+    placed = model["counts"].collect()
+    fingerprint = {name: next(chunks(pa.array([name]), True, BLANK_SEPARATED))[1].hashes.view("int64")[0] for i in range(40) for name in (f"n{i}ab", f"v{i}ab")}
+    names = {word: name for name, word in fingerprint.items()}
+    assert sorted((names[r["word"]], r["n"]) for r in placed) == sorted((name, 10) for name in fingerprint)
+    kinds = {names[r["word"]][0]: set() for r in placed}
+    for r in placed:
+        kinds[names[r["word"]][0]].add(r["cls"])
+    assert len(kinds["n"]) == len(kinds["v"]) == 1 and kinds["n"] != kinds["v"]
+
+    rows = docs(spark, ["the n1ab will v2ab .", "the v1ab will n2ab .", "n1ab v2ab zzzz n3ab", "", None, "zzzz", *texts[:20]])
+    joined = {r["doc_id"]: r for r in brown.score(rows, model, ("doc_id",)).collect()}
+    assert joined[0]["score"] > joined[1]["score"] + 0.5
+    broadcast = brown.train(docs(spark, texts), unit_words=7, k=6)
+    for r in brown.score(rows, broadcast, ("doc_id",)).collect():
+        other = joined[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"]) == (other["n_tokens"], other["n_known"])
+        assert abs(r["score"] - other["score"]) < 1e-9 and abs(r["base_score"] - other["base_score"]) < 1e-9
+
+    # All words and one unknown word per group sum to one in their class, classes behind each class too.
+    m = broadcast["parameters"]
+    words = np.bincount(m["known_classes"], m["known_counts"] + 0.5 * (m["known_counts"] > 0), 6)
+    whole = words + 0.5 * np.bincount(m["group_classes"], minlength=6)
+    assert np.allclose(whole[whole > 0], 10 ** m["class_scale"][whole > 0])
+    assert np.allclose((10 ** m["follow"]).sum(1), 1)
+    # The class bigrams are those of the tokens with their own classes.
+    of = dict(zip(m["known"].tolist(), m["known_classes"].tolist()))
+    tokens = [chunk[1].hashes.view("int64").tolist() for t in texts for chunk in chunks(pa.array([t]), True, BLANK_SEPARATED)]
+    line = [of[-1]] + [of[w] for t in tokens for w in [*t, -1]]
+    grid = np.zeros((6, 6))
+    np.add.at(grid, (line[:-1], line[1:]), 1)
+    for own in (m, model["parameters"]):
+        assert np.allclose(10 ** own["follow"], brown._follow(grid, np.bincount(line[1:], minlength=6)))
+
+
 def test_quality_of_held_out_texts(spark):
     df = texts_of(spark).withColumn("fold", (F.col("doc_id") % 4).cast("int"))
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
