@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import weakref
 from array import array
 from collections.abc import Iterator
 
@@ -197,15 +198,19 @@ class Coder:
 
     Where a blank stands between two characters that are no white space, the
     pattern always begins a new piece, so a text may be cut there.
+
+    The caches don't keep the coder alive, so all of it goes as soon as a task of another
+    step takes over the worker, not when Python next looks for cycles.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
         self._cut = regex.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
-        self._pieces = _Cache(lambda piece: self._text(self._piece(piece)), CACHE_BYTES // 12)
-        self._heads = _Cache(self._word, CACHE_BYTES // 12)
-        self._tails = _Cache(lambda word: self._word(word, " "), CACHE_BYTES * 5 // 6)
+        own = weakref.proxy(self)
+        self._pieces = _Cache(lambda piece: own._text(own._piece(piece)), CACHE_BYTES // 12)
+        self._heads = _Cache(lambda word: own._word(word), CACHE_BYTES // 12)
+        self._tails = _Cache(lambda word: own._word(word, " "), CACHE_BYTES * 5 // 6)
         self._bytes = {str(rank).encode(): token for token, rank in ranks.items()}
 
     def _piece(self, piece: str) -> list[int]:

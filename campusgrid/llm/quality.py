@@ -243,6 +243,22 @@ def score(scored: DataFrame, model: QualityModel, keep: tuple[str, ...]) -> Data
     return source.mapInArrow(run, T.StructType(fields))
 
 
+def score_texts(docs: DataFrame, model: QualityModel, output: str = "score", column: str = "text") -> DataFrame:
+    """All columns and the score of every whole text; null counts as empty.
+
+    Statistics and score are made in one step, and only the text goes to Python: a task
+    holds one worker and one copy of a batch of texts, whatever the other columns hold.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.__dict__)
+
+    @F.arrow_udf(T.DoubleType())
+    def scored(texts: pa.Array) -> pa.Array:
+        stats = np.array([statistics(t.as_py() or b"") for t in texts], dtype=float)
+        return pa.array(QualityModel(**shared.value).score(stats.reshape(-1, len(STATISTICS))), pa.float64())
+
+    return docs.withColumn(output, scored(F.col(f"`{column}`").cast("binary")))
+
+
 def train(docs: DataFrame, labels: DataFrame, fold: str = "fold", calibration_fold: int = 3) -> QualityModel:
     """Fits on the labelled rows of `docs` (doc_id, text, and the fold column: 2 is held
     out, `calibration_fold` calibrates). A document with several labels counts once per

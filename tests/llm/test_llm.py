@@ -422,3 +422,36 @@ def test_pipeline_keeps_clean_documents(spark):
     out = corpus_pipeline.run(spark, SMALL)
     total = texts_of(spark).count()
     assert 0.5 * total < out.count() < total and out.select("doc_id").distinct().count() == out.count()
+
+
+def test_quality_stage_sends_texts_to_python_once(spark):
+    """One Python step per task, scores as those of the two steps, columns of any name."""
+    import corpus_pipeline
+
+    df = docs(spark, [*ODD, *[r["text"] for r in texts_of(spark).collect()]]).withColumn("a.b", F.lit(1))
+    stage = corpus_pipeline.good_quality(spark, df, SMALL)
+    plan = stage._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    model = quality.train(df.withColumn("fold", F.col("doc_id") % 4), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    two = quality.score(quality.document_statistics(df, ("doc_id", "text")), model, ("doc_id", "text"))
+    one = quality.score_texts(df, model).select("doc_id", "text", "score")
+    assert stage.columns == df.columns
+    rows = lambda found: sorted(([str(r[0]), str(r[1]), r[2]] for r in found.collect()))
+    for a, b in zip(rows(one), rows(two), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
+
+
+def test_bpe_caches_go_with_their_coder():
+    """Without waiting for the collector of cycles: a worker that does other work is free of them."""
+    import gc
+    import weakref
+
+    gc.disable()
+    try:
+        coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+        assert b" ".join(coder.coded("caches hold words, caches go"))
+        gone = weakref.ref(coder)
+        del coder
+        assert gone() is None
+    finally:
+        gc.enable()
