@@ -12,7 +12,8 @@ import base64
 import hashlib
 import weakref
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -27,14 +28,17 @@ from pyspark.sql import types as T
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes that a task's caches hold, together and roughly, and pairs of tokens it remembers.
 #: Results don't depend on them.
-CACHE_BYTES = 150_000_000
+CACHE_BYTES = 100_000_000
 PAIR_ENTRIES = 250_000
 #: Bytes that Python needs for an entry besides its contents.
 ENTRY_BYTES = 180
-#: Bytes of text after which a task sends its results on.
-PORTION_BYTES = 4_000_000
+#: Bytes of text that a task looks through for new words at once; then it sends its results on.
+PORTION_BYTES = 2_000_000
 #: Characters of a long text that are coded at a time.
 SECTION = 1_000_000
+#: Of pieces up to SHORT bytes, AT_ONCE of one length are coded at once; of FEW for each byte or
+#: less, and of longer pieces, each is coded by itself. 2 ** PAIR_BITS pairs of tokens have places.
+SHORT, AT_ONCE, FEW, PAIR_BITS = 32, 8192, 4, 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,6 +55,7 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._finder: ahocorasick.Automaton | None = None
         self.longest = max(map(len, ranks), default=1)
+        self._reached: dict[bytes, int] | None = None
         self._parts: dict[int, tuple[int, int] | None] = {}
         self.known_pairs: dict[int, bool] = {}
 
@@ -71,13 +76,18 @@ class Vocabulary:
             self._parts[token] = (self.ranks[pieces[0]], self.ranks[pieces[1]]) if known else None
         return self._parts[token]
 
+    def reached(self) -> dict[bytes, int]:
+        """The tokens that merging reaches."""
+        if self._reached is None:
+            self._reached = {t: r for t, r in self.ranks.items() if len(t) == 1 or self.parts(r) is not None}
+        return self._reached
+
     def finder(self) -> ahocorasick.Automaton:
         """Finds every token that merging reaches, at every place of a text (bytes as Latin-1)."""
         if self._finder is None:
             self._finder = ahocorasick.Automaton()
-            for token, rank in self.ranks.items():
-                if len(token) == 1 or self.parts(rank) is not None:
-                    self._finder.add_word(token.decode("latin-1"), (rank, len(token)))
+            for token, rank in self.reached().items():
+                self._finder.add_word(token.decode("latin-1"), (rank, len(token)))
             self._finder.make_automaton()
         return self._finder
 
@@ -171,6 +181,114 @@ class PrefixEncoder:
         return found[::-1]
 
 
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where keys lie in a table of 2 ** bits places."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class BatchEncoder:
+    """The last tokens of many pieces at once, as `PrefixEncoder` has them for one.
+
+    Pieces of equal length are the rows of a matrix. Tokens are found by walking a trie from
+    every place; then, prefix by prefix, the longest token that fits what the prefix before
+    it ends with is its last.
+    """
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        nodes, edges = {b"": 0}, {}
+        for token in vocabulary.reached():
+            for end in range(1, len(token) + 1):
+                if token[:end] not in nodes:
+                    edges[nodes[token[: end - 1]] << 8 | token[end - 1]] = nodes[token[:end]] = len(nodes)
+        self._nowhere = len(nodes)
+        self._token = np.full(len(nodes) + 1, -1, np.int32)
+        for token, rank in vocabulary.reached().items():
+            self._token[nodes[token]] = rank
+        self._length = np.zeros(max(vocabulary.tokens, default=0) + 1, np.int32)
+        self._length[list(vocabulary.tokens)] = list(map(len, vocabulary.tokens.values()))
+        # Edges lie at their place or at the next free ones.
+        self._bits = max(10, (8 * len(edges)).bit_length() - 1)
+        self._edges, self._to = np.full(1 << self._bits, -1, np.int64), np.zeros(1 << self._bits, np.int32)
+        keys, to = np.array(list(edges), np.int64), np.array(list(edges.values()), np.int32)
+        places = _places(keys, self._bits)
+        while keys.size:
+            free = self._edges[places] < 0
+            taken, first = np.unique(places[free], return_index=True)
+            first = np.flatnonzero(free)[first]
+            self._edges[taken], self._to[taken] = keys[first], to[first]
+            keys, to, places = (np.delete(x, first) for x in (keys, to, places))
+            places = (places + 1) & ((1 << self._bits) - 1)
+        self._pairs, self._fits = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+
+    def _next(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        keys = node.astype(np.int64) << 8 | byte
+        places = _places(keys, self._bits)
+        found = self._edges[places]
+        to = np.where(found == keys, self._to[places], self._nowhere)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        while open_.size:
+            places[open_] = (places[open_] + 1) & ((1 << self._bits) - 1)
+            found = self._edges[places[open_]]
+            here = found == keys[open_]
+            to[open_[here]] = self._to[places[open_[here]]]
+            open_ = open_[~here & (found >= 0)]
+        return to
+
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """`Vocabulary.fits`, remembered until another pair takes the place."""
+        pairs = left.astype(np.int64) << 32 | right
+        places = _places(pairs, PAIR_BITS)
+        fit = self._fits[places]
+        new = np.flatnonzero(self._pairs[places] != pairs)
+        if new.size:
+            asked, which = np.unique(pairs[new], return_inverse=True)
+            fits = self.vocabulary.fits
+            answers = np.array([fits(p >> 32, p & 0xFFFFFFFF) for p in asked.tolist()], bool)
+            fit[new] = answers[which]
+            taken, first = np.unique(_places(asked, PAIR_BITS), return_index=True)
+            self._pairs[taken], self._fits[taken] = asked[first], answers[first]
+        return fit
+
+    def ids(self, pieces: list[bytes]) -> list[list[int]]:
+        """The tokens of pieces of one length that are no tokens themselves."""
+        size, n = len(pieces[0]), len(pieces)
+        data = np.ascontiguousarray(np.frombuffer(b"".join(pieces), np.uint8).reshape(n, size).T)
+        ending: list[list[tuple]] = [[] for _ in range(size)]  # by last place: start, rows, tokens
+        for start in range(size):
+            rows, node = np.arange(n), np.zeros(n, np.int32)
+            for at in range(start, size):
+                node = self._next(node, data[at, rows])
+                alive = node != self._nowhere
+                rows, node = rows[alive], node[alive]
+                if not rows.size:
+                    break
+                token = self._token[node]
+                is_token = token >= 0
+                ending[at].append((start, rows[is_token], token[is_token]))
+        last = np.full((size, n), -1, np.int32)
+        for at in range(size):
+            for start, rows, token in ending[at]:  # the longest first
+                free = last[at, rows] < 0
+                rows, token = rows[free], token[free]
+                if start:
+                    fit = self._fit(last[start - 1, rows], token)
+                    rows, token = rows[fit], token[fit]
+                last[at, rows] = token
+            if n and last[at].min() < 0:
+                raise ValueError("the vocabulary lacks a byte of the text")
+        found, ends, rows = [], np.full(n, size), np.arange(n)
+        count = np.zeros(n, np.int64)
+        while rows.size:
+            token = last[ends[rows] - 1, rows]
+            found.append(np.zeros(n, np.int32))
+            found[-1][rows] = token
+            count[rows] += 1
+            ends[rows] -= self._length[token]
+            rows = rows[ends[rows] > 0]
+        return [ids[k - 1 :: -1] for ids, k in zip(np.array(found).T.tolist(), count.tolist())]
+
+
 class _Cache(dict):
     """Computes what is missing. When it holds half its bytes, it becomes the older
     generation, out of which entries still in use come back, and the one before is dropped."""
@@ -186,12 +304,36 @@ class _Cache(dict):
             value = self._make(key)
         self._held += ENTRY_BYTES + len(key) + (len(value) if value else 0)
         if self._held > self._most:
-            self._older = dict(self)
-            self.clear()
-            self._held = 0
+            self._turn()
         self[key] = value
         return value
 
+    def _turn(self) -> None:
+        self._older = dict(self)
+        self.clear()
+        self._held = 0
+
+    def add(self, entries: dict) -> None:
+        held = sum([ENTRY_BYTES + len(k) + (len(v) if v else 0) for k, v in entries.items()])
+        if self._held + held > self._most:
+            self._turn()
+        self._held += held
+        self.update(entries)
+
+    def lacking(self, keys: set) -> list:
+        """The keys that are to be made, at most as many as a generation has room for; those
+        in the older generation come back."""
+        keys, older = keys.difference(self), self._older
+        back = {k: older[k] for k in keys if k in older}
+        self.add(back)
+        room, made = self._most, []
+        for key in keys.difference(back):
+            room -= ENTRY_BYTES + 8 * len(key)  # of a byte's id, six digits and a blank
+            if room < 0:
+                break
+            made.append(key)
+        return made
+
 
 class Coder:
     """Encodes texts. Words between single blanks are matched once per task.
@@ -199,6 +341,8 @@ class Coder:
     Where a blank stands between two characters that are no white space, the
     pattern always begins a new piece, so a text may be cut there.
 
+    `prepare` takes the new words of many texts together; pieces of one length are coded at once.
+
     The caches don't keep the coder alive, so all of it goes as soon as a task of another
     step takes over the worker, not when Python next looks for cycles.
     """
@@ -207,11 +351,13 @@ class Coder:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\S", f"[^{_WHITE}]").replace(r"\s", f"[{_WHITE}]"))
         self._cut = regex.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
+        self._batch: BatchEncoder | None = None
+        self._names = {rank: str(rank).encode() for rank in ranks.values()}
         own = weakref.proxy(self)
         self._pieces = _Cache(lambda piece: own._text(own._piece(piece)), CACHE_BYTES // 12)
         self._heads = _Cache(lambda word: own._word(word), CACHE_BYTES // 12)
         self._tails = _Cache(lambda word: own._word(word, " "), CACHE_BYTES * 5 // 6)
-        self._bytes = {str(rank).encode(): token for token, rank in ranks.items()}
+        self._bytes = {self._names[rank]: token for token, rank in ranks.items()}
 
     def _piece(self, piece: str) -> list[int]:
         data = piece.encode()
@@ -234,6 +380,46 @@ class Coder:
         # A word of one piece is remembered as a word already.
         return self._text(self._piece(pieces[0])) if len(pieces) == 1 else self._joined(pieces)
 
+    def prepare(self, texts: Iterable[str]) -> None:
+        """Codes the new words of texts that are coded next. Results don't depend on it."""
+        words: set[str] = set()
+        for text in texts:
+            words.update(text.split(" ")[1:])
+        whole, made = [], {}
+        for word in self._tails.lacking(words):
+            if not word or word[0].isspace() or word[-1].isspace():
+                made[word] = None
+            else:
+                whole.append(word)
+        pieces = self.pattern.findall("".join([f" {word}" for word in whole]))
+        found = self._found(set(pieces))
+        # A word's first piece, and no other, begins with a blank.
+        begins = [i for i, piece in enumerate(pieces) if piece[0] == " "] + [len(pieces)]
+        for word, (begin, end) in zip(whole, pairwise(begins), strict=True):
+            made[word] = found[pieces[begin]] if end == begin + 1 else b" ".join([found[p] for p in pieces[begin:end]])
+        self._tails.add(made)
+
+    def _found(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of pieces as decimal text."""
+        ranks, names, found = self.vocabulary.ranks, self._names, {}
+        by_size: dict[int, list[tuple[bytes, str]]] = {}
+        for piece in pieces:
+            rank = ranks.get(data := piece.encode())
+            if rank is None:
+                by_size.setdefault(len(data), []).append((data, piece))
+            else:
+                found[piece] = names[rank]
+        for size, alike in by_size.items():
+            if size > SHORT or len(alike) < FEW * size:
+                found.update((piece, self._text(self._piece(piece))) for _, piece in alike)
+                continue
+            self._batch = self._batch or BatchEncoder(self.vocabulary)
+            for begin in range(0, len(alike), AT_ONCE):
+                part = alike[begin : begin + AT_ONCE]
+                for (_, piece), ids in zip(part, self._batch.ids([data for data, _ in part])):
+                    found[piece] = b" ".join([names[i] for i in ids])
+        return found
+
     def _sections(self, text: str) -> Iterator[str]:
         """The text cut at blanks that begin a piece; each section but the first begins with its blank."""
         begin = 0
@@ -248,6 +434,8 @@ class Coder:
     def coded(self, text: str) -> Iterator[bytes]:
         """The ids as decimal text, a section of the text at a time."""
         for section in self._sections(text):
+            if section is not text:
+                self.prepare([section])
             words = section.split(" ")
             if section[0] == " " and section is not text:
                 texts = list(map(self._tails.__getitem__, words[1:]))
@@ -313,6 +501,8 @@ def encode(
             made[pattern] = Coder(shared.value["ranks"], pattern)
         coder = made[pattern]
         for batch in (part for whole in batches for part in _portions(whole)):
+            texts = (x.as_py() for x in batch.column(batch.num_columns - 1))
+            coder.prepare(x for x in texts if x and len(x) <= SECTION)
             rows: dict[str, list] = {name: [] for name in outputs if name != "ids"}
             ids, ends = array("i"), [0]
             for value in batch.column(batch.num_columns - 1):

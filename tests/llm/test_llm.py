@@ -87,6 +87,40 @@ class Counted:
             yield at, found
 
 
+def test_bpe_codes_pieces_of_one_length_at_once():
+    vocabulary = bpe.Vocabulary(RANKS)
+    batch = bpe.BatchEncoder(vocabulary)
+    pick = random.Random(5)
+    for size in (2, 3, 7, 12, 32):
+        pieces = [bytes(pick.choice(b" aehinorst'\xc3\xa9\xff") for _ in range(size)) for _ in range(200)]
+        pieces += [(b" thththandoninghe" * 2)[i : i + size] for i in range(3)]
+        pieces = [p for p in pieces if p not in RANKS]
+        assert batch.ids(pieces) == [bpe.PrefixEncoder(vocabulary, p).ids() for p in pieces]
+    few = bpe.BatchEncoder(bpe.Vocabulary({b"a": 0, b"b": 1, b"ab": 2}))
+    assert few.ids([b"aba", b"bab"]) == [[2, 0], [1, 2]]
+    with pytest.raises(ValueError, match="lacks a byte"):
+        few.ids([b"abc"])
+
+
+def test_bpe_prepares_the_new_words_of_many_texts(monkeypatch):
+    pick = random.Random(6)
+    word = lambda: "".join(pick.choice("abehin\té.,1 ") for _ in range(pick.randrange(12)))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(60)]
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    expected = [" ".join(map(str, library.encode_ordinary(t))).encode() for t in texts]
+    for held in (bpe.CACHE_BYTES, 30_000):
+        monkeypatch.setattr(bpe, "CACHE_BYTES", held)
+        coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+        coder.prepare(texts)
+        assert [b" ".join(coder.coded(t)) for t in texts] == expected
+    monkeypatch.undo()
+    coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    plain = "one " + " ".join(f"{'abeh' * (i % 3)}{i}x,y" for i in range(300))
+    coder.prepare([plain])
+    assert len(coder._tails) == 300  # before any is asked for
+    assert b" ".join(coder.coded(plain)) == " ".join(map(str, library.encode_ordinary(plain))).encode()
+
+
 def test_bpe_caches_are_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_BYTES", 60_000)
     coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
