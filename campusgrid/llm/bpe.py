@@ -28,12 +28,12 @@ from pyspark.sql import types as T
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Bytes that a task's caches hold, together and roughly, and pairs of tokens it remembers.
 #: Results don't depend on them.
-CACHE_BYTES = 100_000_000
+CACHE_BYTES = 75_000_000
 PAIR_ENTRIES = 250_000
 #: Bytes that Python needs for an entry besides its contents.
 ENTRY_BYTES = 180
 #: Bytes of text that a task looks through for new words at once; then it sends its results on.
-PORTION_BYTES = 2_000_000
+PORTION_BYTES = 1_000_000
 #: Characters of a long text that are coded at a time.
 SECTION = 1_000_000
 #: Of pieces up to SHORT bytes, AT_ONCE of one length are coded at once; of FEW for each byte or

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -121,6 +122,17 @@ def test_bpe_prepares_the_new_words_of_many_texts(monkeypatch):
     assert b" ".join(coder.coded(plain)) == " ".join(map(str, library.encode_ordinary(plain))).encode()
 
 
+def test_word_arrays_take_little_memory():
+    texts = pa.array(["one two three fifteen " * 200] * 2000)
+    tracemalloc.start()
+    try:
+        found = [len(words.hashes) for _, words in chunks(texts, True, BLANK_SEPARATED)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(found) == 2000 * 800 and peak < 50_000_000
+
+
 def test_bpe_caches_are_bounded_by_bytes(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_BYTES", 60_000)
     coder = bpe.Coder(RANKS, public_tokenizers.PATTERN)
