@@ -171,14 +171,35 @@ def find_contamination(
     return scanned(result, table, final=True)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The documents without a window of a test item; all columns as they are."""
-    names = [f"`{c}`" for c in docs.columns]
-    renamed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], F.col("text"))
-    keep = tuple(f"c{i}" for i in range(len(names)))
-    found = find_contamination(renamed, items, keep, size)
-    clean = found.filter(F.size("hit_spans") == 0)
-    return clean.select(*[F.col(k).alias(c) for k, c in zip(keep, docs.columns)])
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW, max_windows: int = MAX_WINDOWS
+) -> DataFrame:
+    """The documents without a window of a test item; all columns as they are.
+
+    Only the text goes to Python, once, and comes back as one boolean: a task holds one
+    Arrow copy of a batch of texts, whatever the other columns hold.
+    """
+    context = docs.sparkSession.sparkContext
+    keep = [f"c{i}" for i in range(len(docs.columns))]
+    text = keep[docs.columns.index("text")]
+
+    def clean(df: DataFrame, table: dict[bytes, list[str]]) -> DataFrame:
+        shared = context.broadcast({"table": table, "made": {}})
+
+        @F.arrow_udf(T.BooleanType())
+        def hit(texts: pa.Array) -> pa.Array:
+            made = shared.value["made"]  # lives as long as the worker
+            if "scan" not in made:
+                made["scan"] = _scanner(shared.value["table"])
+            return pa.array([bool(spans) for spans in made["scan"](texts)[1]], pa.bool_())
+
+        return df.filter(~hit(text))
+
+    tables = _blocks(item_windows(items, size), max_windows)
+    result = clean(docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(docs.columns, keep)]), next(tables))
+    for following in tables:
+        result = clean(written(result), following)
+    return result.select(*[F.col(k).alias(c) for k, c in zip(keep, docs.columns)])
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:

@@ -487,6 +487,22 @@ def test_quality_stage_sends_texts_to_python_once(spark):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-9
 
 
+@pytest.mark.parametrize("most", [10**6, 2])
+def test_decontamination_stage_sends_texts_to_python_once(spark, most):
+    """The text alone, one boolean back; rows and columns of any name stay, item blocks too."""
+    item = "one two three four five six seven eight nine ten eleven"
+    items = spark.createDataFrame([("x", item), ("y", "short one")], "item_id string, text string")
+    texts = [None, "", f"a {item} b", "clean words only", "SHORT, one!", f"a {item} b", "clean words only"]
+    df = docs(spark, texts).withColumn("a.b", F.col("text"))
+    found = decontaminate.drop_contaminated(df, items, max_windows=most)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    assert found.columns == df.columns
+    got = sorted((r["doc_id"], r["text"], r["a.b"]) for r in found.collect())
+    at = [r["doc_id"] for r in df.orderBy("doc_id").collect()]
+    assert got == [(at[i], texts[i], texts[i]) for i in (0, 1, 3, 6)]
+
+
 def test_bpe_caches_go_with_their_coder():
     """Without waiting for the collector of cycles: a worker that does other work is free of them."""
     import gc
