@@ -32,9 +32,13 @@ def write_raw_json(records: DataFrame, root: str, name: str, at: str | None = No
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """Rows as text that `records.read_table` gives back as they are."""
-    return codec.write(df, path)
+def write_csv(df: DataFrame, path: str, compressed: bool = False, portion_by: str | None = None) -> str:
+    """Rows as text that `records.read_table` gives back as they are.
+
+    Large tables should be compressed, and those that come out of joins by large keys
+    written in portions: see `codec.write`.
+    """
+    return codec.write(df, path, compressed, portion_by)
 
 
 def write_staging(df: DataFrame, root: str, name: str, at: str | None = None) -> tuple[str, str]:

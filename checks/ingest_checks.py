@@ -363,7 +363,8 @@ def _(spark, sf_dir):
     name = quoted("Product Name")
     odd = F.when(F.col("Qty") == 1, "").when(F.col("Qty") != 2, F.concat(F.lit("line\n"), name))
     sheet = instructions(spark, sf_dir).withColumn("Product Name", odd)
-    path = K.write_csv(sheet, f"{scratch_dir(spark)}/instructions.csv")
+    # An instruction is an order, so its hash also picks the orders of a portion before they are shuffled.
+    path = K.write_csv(sheet, f"{scratch_dir(spark)}/instructions.csv", compressed=True, portion_by="Instruction ID")
     return L.read_instructions(spark, path)
 
 

@@ -2,14 +2,22 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import gzip
+import re
+import time
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from campusgrid.session import FREE_SHUFFLES
 from campusgrid.sources import codec
 from campusgrid.sources import records as R
 from campusgrid.sources import sinks as K
+from checks import load_all
+from checks.registry import QUERIES
+from checks.tables import instructions
 
 TEXTS = [
     None, "", " ", "\\", "\\N", "\\\\N", "\\n", "a\nb", "a\r\nb", "\r", "\0", "\\0", "\\\0", '"', '""', ",", ' "x", ', "#", "é中😀",
@@ -82,3 +90,61 @@ def test_empty_tables_and_picked_columns(spark, tmp_path):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     path = K.write_csv(df, str(tmp_path / "p.csv"))
     assert R.read_table(spark, path, df.select("b").schema).collect() == [("x",)]
+
+
+def _shuffle_files(spark) -> set[str]:
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {str(f) for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+
+def test_compressed_files_hold_few_rows_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(codec.COMPRESSED, "maxRecordsPerFile", 10)
+    df = spark.createDataFrame([(i, t) for i in range(2) for t in TEXTS], "i int, t string").coalesce(1)
+    path = K.write_csv(df, str(tmp_path / "t.csv"), compressed=True)
+    files = [f for f in Path(path).iterdir() if f.name.startswith("part")]
+    assert len(files) == -(-2 * len(TEXTS) // 10) and all(f.name.endswith(".csv.gz") for f in files)
+    assert all(len(gzip.decompress(f.read_bytes()).split(b"\n")) <= 12 for f in files)
+    assert sorted(map(str, R.read_table(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_portions_make_the_whole_table(spark, tmp_path):
+    """Keys null, repeated, and one with most of the rows."""
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else str(i // 2), i % 20) for i in range(400)]
+    left = spark.createDataFrame(rows, "k string, v int")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)] + [(str(i), i) for i in range(0, 200, 2)], "j string, w int")
+    df = left.join(right.hint("merge"), left["k"] == right["j"], "left")
+    path = K.write_csv(df, str(tmp_path / "t.csv"), portion_by="k")
+    assert sorted(map(str, R.read_table(spark, path).collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        K.write_csv(df, path, portion_by="k")
+
+
+def test_a_portion_of_a_sheet_takes_its_own_lines_and_orders(spark):
+    sheet = instructions(spark, "/root/testdata/sf0.001")
+    portions = codec._portions(sheet, "Instruction ID", 4)
+    assert sum(p.count() for p in portions) == sheet.count()
+    for portion in portions:
+        text = portion._jdf.queryExecution().optimizedPlan().toString()
+        for key in ("l_orderkey", "o_orderkey"):
+            assert re.search(rf"Filter .*xxhash64\(cast\({key}#", text)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    before, setting = _shuffle_files(spark), spark.conf.get(FREE_SHUFFLES)
+    df = spark.range(1000).repartition(3, "id").groupBy("id").count()
+    K.write_csv(df, str(tmp_path / "t.csv"))
+    for _ in range(100):  # they are deleted in the background
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(FREE_SHUFFLES) == setting
+
+
+def test_sheets_take_less_disk_than_plain_text(spark, tmp_path):
+    load_all()
+    df = QUERIES["s15_sales_sheets"](spark, "/root/testdata/sf0.001")
+    files = [f.removeprefix("file:") for f in df.inputFiles()]
+    plain = K.write_csv(df, str(tmp_path / "plain.csv"))
+    assert df.count() == R.read_table(spark, plain).count() > 0
+    size = sum(f.stat().st_size for f in Path(plain).glob("part*"))
+    assert sum(Path(f).stat().st_size for f in files) < size / 2
